@@ -38,12 +38,16 @@ def watermarks(control: DataFrame, tables: DataFrame, name: str = "table_name")
     return asked.join(known, "table_name", "left").select("table_name", mark.alias("last_watermark"))
 
 
-def read_watermarks(control: DataFrame, tables: Iterable[str]) -> dict[str, datetime]:
-    """The marks of the named tables, read in one job; one value per name."""
+def read_watermarks(control: DataFrame, tables: Iterable[str]) -> dict[str, str]:
+    """The marks of the named tables, read in one job; one value per name.
+
+    Marks are text in the session's time zone, so that they read back unchanged.
+    """
     names = list(tables)
     spark = control.sparkSession
     asked = spark.createDataFrame([(n,) for n in names], "table_name string")
     found = watermarks(control.where(F.col("table_name").isin(names)), asked)
+    found = found.withColumn("last_watermark", F.col("last_watermark").cast("string"))
     return {r["table_name"]: r["last_watermark"] for r in found.collect()}
 
 
@@ -122,7 +126,7 @@ class CycleResult:
     table: str
     batch_id: int | None
     staged_rows: int
-    mark: datetime | str
+    mark: str
 
 
 def apply_batch(

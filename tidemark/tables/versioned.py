@@ -54,7 +54,8 @@ class VersionedTable:
     # -- commits ---------------------------------------------------------------
 
     def _commits(self) -> DataFrame:
-        return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
+        reader = self.spark.read.schema(_COMMIT).option("recursiveFileLookup", True)
+        return reader.json(f"{self.root}/commits")
 
     def _load(self, version: int | None = None) -> _Commit | None:
         try:
@@ -132,10 +133,10 @@ class VersionedTable:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/data/{name}")
         rows = seen.get["rows"]
-        if not self.partition_by:
-            return [name], rows
         if rows == 0:
             return [], 0
+        if not self.partition_by:
+            return [name], rows
         # One row per partition directory: no data column is read.
         written = (
             self.spark.read.schema(df.schema)
