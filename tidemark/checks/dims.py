@@ -11,6 +11,7 @@ from tidemark.operators import changes, dedup, scd2
 from tidemark.operators.merge import Matched, NotMatched, merge_into
 from tidemark.plans import star
 from tidemark.plans.model import CUSTOMER_COLUMNS, ORDER_COLUMNS, ORDER_DIM_COLUMNS, PRODUCT_COLUMNS
+from tidemark.session import stored
 
 SCD2_SQL = """
 SELECT {cols}, start_column,
@@ -31,14 +32,14 @@ def _scd2_sql(cols: str, key: str) -> str:
 @query("scd2_batch_customer", f"WITH {I.CUST_BATCH_SQL} {_scd2_sql(I.CUST_COLS, 'customer_id')}")
 def scd2_batch_customer(spark, sf):
     """The newest staged batch applied to the customer dimension."""
-    batch = changes.latest_batch(I.staged_customers(spark, sf))
-    return scd2.scd2_batch(I.customer_dim(spark, sf), batch, ["customer_id"], I.T1)
+    dim, staged = I.stored_customers(spark, sf)
+    return scd2.scd2_batch(dim, changes.latest_batch(staged), ["customer_id"], I.T1)
 
 
 @query("scd2_batch_product", f"WITH {I.PROD_BATCH_SQL} {_scd2_sql(I.PROD_COLS, 'product_name')}")
 def scd2_batch_product(spark, sf):
-    batch = changes.latest_batch(I.staged_products(spark, sf))
-    return scd2.scd2_batch(I.product_dim(spark, sf), batch, ["product_name"], I.T1)
+    dim, staged = I.stored_products(spark, sf)
+    return scd2.scd2_batch(dim, changes.latest_batch(staged), ["product_name"], I.T1)
 
 
 @query(
@@ -53,9 +54,9 @@ def scd2_batch_product(spark, sf):
     WHERE customer_id NOT IN (SELECT customer_id FROM dim)""",
 )
 def scd2_single_merge(spark, sf):
-    return scd2.scd2_single_merge(
-        I.customer_dim(spark, sf), I.customer_batch(spark, sf), ["customer_id"], I.T1
-    )
+    dim, staged = I.stored_customers(spark, sf)
+    source = changes.latest_batch(staged).drop(C.BATCH, "load_date")
+    return scd2.scd2_single_merge(dim, source, ["customer_id"], I.T1)
 
 
 @query(
@@ -116,7 +117,7 @@ def merge_upsert(spark, sf):
 )
 def scd2_repair(spark, sf):
     """Reopen, drop expired, undo doubled versions, then one row per key."""
-    after = scd2_batch_customer(spark, sf)
+    after = stored(scd2_batch_customer(spark, sf), "after")
     doubled = after.unionByName(after.where(F.col("customer_segment") == "SUPPLIER"))
     reopened = scd2.reopen(doubled, F.col("region") == "ASIA")
     kept = scd2.drop_expired(reopened)
@@ -133,8 +134,10 @@ def scd2_repair(spark, sf):
 )
 def cdc_change_type_all(spark, sf):
     """All staged rows against all versions."""
-    staged = I.staged_customers(spark, sf).select("customer_id", "customer_segment", "hash", "batch_id")
-    return changes.change_types(staged, scd2_batch_customer(spark, sf), ["customer_id"], carry=[C.CURRENT])
+    dim, staged = I.stored_customers(spark, sf)
+    after = scd2.scd2_batch(dim, changes.latest_batch(staged), ["customer_id"], I.T1)
+    shown = staged.select("customer_id", "customer_segment", "hash", "batch_id")
+    return changes.change_types(shown, after, ["customer_id"], carry=[C.CURRENT])
 
 
 @query(
@@ -146,9 +149,9 @@ def cdc_change_type_all(spark, sf):
 )
 def cdc_change_type_batch(spark, sf):
     """The newest batch against current versions."""
-    staged = I.staged_customers(spark, sf).select("customer_id", "customer_segment", "hash", "batch_id")
-    dim = changes.current_rows(I.customer_dim(spark, sf))
-    return changes.change_types(changes.latest_batch(staged), dim, ["customer_id"])
+    dim, staged = I.stored_customers(spark, sf)
+    shown = staged.select("customer_id", "customer_segment", "hash", "batch_id")
+    return changes.change_types(changes.latest_batch(shown), changes.current_rows(dim), ["customer_id"])
 
 
 @query(
@@ -159,8 +162,9 @@ def cdc_change_type_batch(spark, sf):
     FROM batch s LEFT JOIN dim d ON s.product_name = d.product_name""",
 )
 def cdc_change_type_product(spark, sf):
-    batch = changes.latest_batch(I.staged_products(spark, sf)).select("product_name", "unit_price", "hash")
-    return changes.change_types(batch, changes.current_rows(I.product_dim(spark, sf)), ["product_name"])
+    dim, staged = I.stored_products(spark, sf)
+    batch = changes.latest_batch(staged).select("product_name", "unit_price", "hash")
+    return changes.change_types(batch, changes.current_rows(dim), ["product_name"])
 
 
 @query(

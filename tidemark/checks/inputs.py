@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import row_hash, with_scd2
 from tidemark.operators.dedup import first_per_key
 from tidemark.plans.model import CUSTOMER_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS
-from tidemark.session import shared_path
+from tidemark.session import shared_path, stored
 from tidemark.tables.versioned import VersionedTable
 
 T0 = "2024-01-01 00:00:00"
@@ -25,8 +25,25 @@ PREFIX = "src_"
 BATCH_SOURCE = "dataverse"
 
 
+# Columns of the test tables: naming them saves the look into each file before a job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def new_table(spark: SparkSession, label: str, **options) -> VersionedTable:
@@ -210,6 +227,12 @@ def staged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def stored_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Dimension and staged rows as written tables, split by current flag and batch."""
+    dim = stored(customer_dim(spark, sf_dir), "dim", ("Iscurrent",))
+    return dim, stored(staged_customers(spark, sf_dir), "staged", ("batch_id",))
+
+
 # -- products ----------------------------------------------------------------------------
 
 PROD_COLS = ", ".join(PRODUCT_COLUMNS)
@@ -265,6 +288,11 @@ def staged_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.withColumn("hash", row_hash(PRODUCT_COLUMNS))
 
 
+def stored_products(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    dim = stored(product_dim(spark, sf_dir), "dim", ("Iscurrent",))
+    return dim, stored(staged_products(spark, sf_dir), "staged", ("batch_id",))
+
+
 # -- order lines ---------------------------------------------------------------------------
 
 LINES_FROM = """FROM lineitem JOIN orders ON l_orderkey = o_orderkey

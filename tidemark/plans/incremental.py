@@ -126,7 +126,6 @@ class CycleResult:
     table: str
     batch_id: int | None
     staged_rows: int
-    mark: str
 
 
 def apply_batch(
@@ -165,20 +164,24 @@ def run_cycle(
     nothing new, dimension and mark stay as they are.
     """
     mark = read_watermarks(control.read(), [spec.name])[spec.name]
-    load_type = feed.schema[spec.modified].dataType
-    beyond = F.col(spec.load) > F.lit(str(mark)).cast(load_type)
-    if not staged.read().where(beyond).isEmpty():
-        staged.delete(beyond)
+    beyond = F.col(spec.load) > F.lit(mark).cast(feed.schema[spec.modified].dataType)
+
+    def state():
+        done = F.coalesce(F.max(BATCH), F.lit(0)).alias("batch")
+        return staged.read().agg(done, F.coalesce(F.max(beyond), F.lit(False)).alias("left_over")).first()
 
-    batch_id = next_batches({spec.name: staged.read()}).first()["next_batch"]
+    before = state()
+    if before["left_over"]:
+        staged.delete(beyond)
+        before = state()
+    batch_id = before["batch"] + 1
     rows = staged.append(stage_increment(feed, spec, mark, batch_id, as_of, overlap), evolve=True)
     if rows == 0:
-        return CycleResult(spec.name, None, 0, mark)
+        return CycleResult(spec.name, None, 0)
 
     batch = latest_batch(staged.read())
     if dim is not None:
         apply_batch(dim, batch, spec, as_of, batch_rows=rows)
     reached = next_watermark(batch, spec.name, spec.load)
     control.overwrite(advance_watermarks(control.read(), reached))
-    mark = read_watermarks(control.read(), [spec.name])[spec.name]
-    return CycleResult(spec.name, batch_id, rows, mark)
+    return CycleResult(spec.name, batch_id, rows)

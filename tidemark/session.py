@@ -36,3 +36,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For rows that several parts of a plan use: they are computed once, and the
+    plan after them survives the loss of an executor without computing them again.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, label)
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

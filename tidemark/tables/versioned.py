@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from tidemark.operators.merge import merge_into
 
 _VERSION = "commit_version"
+_DIRECTORY = rf"/data/({_VERSION}=.+)/[^/]+$"
 _COMMIT = "version int, ts string, operation string, rows bigint, dirs array<string>, schema string"
 
 
@@ -119,7 +121,7 @@ class VersionedTable:
 
     @staticmethod
     def _directory() -> Column:
-        return F.regexp_extract("_metadata.file_path", rf"/data/({_VERSION}=.+)/[^/]+$", 1)
+        return F.regexp_extract("_metadata.file_path", _DIRECTORY, 1)
 
     def _write(self, df: DataFrame) -> tuple[list[str], int]:
         """Write ``df`` as the data of the next version; its directories and row count."""
@@ -137,14 +139,9 @@ class VersionedTable:
             return [], 0
         if not self.partition_by:
             return [name], rows
-        # One row per partition directory: no data column is read.
-        written = (
-            self.spark.read.schema(df.schema)
-            .option("basePath", f"{self.root}/data")
-            .parquet(f"{self.root}/data/{name}")
-        )
-        found = written.select(self._directory().alias("d")).distinct().collect()
-        return sorted(r["d"] for r in found), rows
+        # Listing the new files tells the partition directories; no job runs.
+        listed = self.spark.read.schema(df.schema).parquet(f"{self.root}/data/{name}").inputFiles()
+        return sorted({re.search(_DIRECTORY, file).group(1) for file in listed}), rows
 
     def _conform(self, df: DataFrame, schema: T.StructType) -> DataFrame:
         """Columns of ``schema`` by name; absent ones NULL, unknown ones an error."""
