@@ -116,3 +116,32 @@ def test_landing_names():
     assert len(pairs) == 44 and len(model.ORDER_COLUMNS) == 43
     assert ("p_productid1", "p_productid1") in model.product_spec("p_").columns
     assert ("p_customerid1", "customer_id") in model.customer_spec("p_").columns
+
+
+def test_stream_of_landed_files(spark, tables):
+    from tidemark.streaming import feed as stream
+
+    staged, _, dim = tables
+    path, checkpoint = shared_path(spark, "landing"), shared_path(spark, "stream")
+    schema = feed(spark, []).schema
+
+    def load(as_of):
+        source = spark.readStream.schema(schema).parquet(path)
+        stream.load_available(source, SPEC, staged, checkpoint, dim, clock=lambda: as_of)
+
+    feed(spark, [("a", "1", 1), ("b", "1", 2)]).write.parquet(path)
+    load("2024-02-01 00:00:00")
+    feed(spark, [("a", "2", 3), ("c", "1", 3)]).write.mode("append").parquet(path)
+    load("2024-03-01 00:00:00")
+    load("2024-04-01 00:00:00")
+    assert staged.read().count() == 4
+    assert sorted((r["k"], r["v"], r["Iscurrent"]) for r in dim.read().collect()) == [
+        ("a", "1", 0),
+        ("a", "2", 1),
+        ("b", "1", 1),
+        ("c", "1", 1),
+    ]
+    # The last micro-batch delivered once more.
+    again = feed(spark, [("a", "2", 3), ("c", "1", 3)])
+    stream.load_micro_batch(again, 1, SPEC, staged, dim, "2024-05-01 00:00:00")
+    assert staged.read().count() == 4 and dim.read().count() == 4

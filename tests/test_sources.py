@@ -159,3 +159,13 @@ def test_broadcast_only_below_the_bound(spark):
     hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
     assert hinted(broadcast_if_small(df, 100))
     assert not hinted(broadcast_if_small(df, 99))
+
+
+def test_three_part_table_names(spark):
+    """A table of another database, addressed as catalog.database.table in any case."""
+    path = shared_path(spark, "bronze")
+    spark.range(3).write.parquet(path)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bronze LOCATION '{shared_path(spark, 'db')}'")
+    spark.sql(f"CREATE TABLE bronze.dimcustomer (id BIGINT) USING parquet LOCATION '{path}'")
+    assert spark.read.table("spark_catalog.bronze.DimCustomer").count() == 3
+    spark.sql("DROP TABLE bronze.dimcustomer")

@@ -59,6 +59,46 @@ def scd2_single_merge(spark, sf):
     return scd2.scd2_single_merge(dim, source, ["customer_id"], I.T1)
 
 
+@query("scd2_three_statements", f"WITH {I.CUST_BATCH_SQL} {_scd2_sql(I.CUST_COLS, 'customer_id')}")
+def scd2_three_statements(spark, sf):
+    """The same load as three statements on a table: expire, insert changed, insert new."""
+    staged = stored(I.staged_customers(spark, sf), "staged", ("batch_id",))
+    batch = changes.latest_batch(staged)
+    dim = I.new_table(spark, "dim").create(I.customer_dim(spark, sf))
+    differs = F.col(f"t.{C.HASH}") != F.col(f"s.{C.HASH}")
+    expire = Matched(differs, set={C.END: C.instant(I.T1), C.CURRENT: F.lit(0)})
+    dim.merge(batch, ["customer_id"], matched=[expire], target_condition=F.col(f"t.{C.CURRENT}") == 1)
+    opened = [*CUSTOMER_COLUMNS, C.START, C.END, C.CURRENT, C.HASH]
+    values = [
+        *CUSTOMER_COLUMNS,
+        C.instant(I.T1).alias(C.START),
+        C.instant(I.OPEN).alias(C.END),
+        F.lit(1).alias(C.CURRENT),
+        C.HASH,
+    ]
+    dim.insert(changes.not_current(batch, dim.read(), ["customer_id"]).select(*values), opened)
+    dim.insert(changes.new_keys(batch, dim.read(), ["customer_id"]).select(*values), opened)
+    return dim.read()
+
+
+@query(
+    "join_expired_pairs",
+    f"""WITH {I.CUST_BATCH_SQL}, after AS ({_scd2_sql(I.CUST_COLS, 'customer_id')})
+    SELECT s.customer_id, s.customer_segment, s.hash, d.customer_segment AS expired_segment
+    FROM batch s JOIN after d ON s.customer_id = d.customer_id WHERE d."Iscurrent" = 0 AND s.hash <> d.hash""",
+)
+def join_expired_pairs(spark, sf):
+    """Staged rows joined with the expired versions they replaced."""
+    dim, staged = I.stored_customers(spark, sf)
+    batch = changes.latest_batch(staged)
+    expired = scd2.scd2_batch(dim, batch, ["customer_id"], I.T1).where(F.col(C.CURRENT) == 0)
+    cond = changes.equal_keys(["customer_id"], "s", "d") & (F.col("s.hash") != F.col("d.hash"))
+    pairs = batch.alias("s").join(expired.alias("d"), cond, "inner")
+    return pairs.select(
+        "s.customer_id", "s.customer_segment", "s.hash", F.col("d.customer_segment").alias("expired_segment")
+    )
+
+
 @query(
     "merge_upsert",
     """WITH late AS (

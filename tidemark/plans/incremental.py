@@ -97,6 +97,18 @@ def newer_than(
     return feed.where(F.col(modified) > at)
 
 
+def staged_form(
+    rows: DataFrame, spec: TableSpec, batch_id: int | Column, as_of: Column | datetime | str
+) -> DataFrame:
+    """Landed rows renamed to the model, with history columns, hash, batch number, source."""
+    model = rows.select(
+        *[F.col(s).alias(t) for s, t in spec.columns], F.col(spec.modified).alias(spec.load)
+    )
+    return with_scd2(
+        model, spec.hash_columns, as_of, current=False, source=spec.source, batch_id=batch_id
+    )
+
+
 def stage_increment(
     feed: DataFrame,
     spec: TableSpec,
@@ -105,17 +117,8 @@ def stage_increment(
     as_of: Column | datetime | str,
     overlap: timedelta | None = None,
 ) -> DataFrame:
-    """The rows of ``feed`` newer than the mark, in staged form.
-
-    Filter first, then rename; then history columns, hash, batch number, source.
-    """
-    rows = newer_than(feed, spec.modified, mark, overlap)
-    model = rows.select(
-        *[F.col(s).alias(t) for s, t in spec.columns], F.col(spec.modified).alias(spec.load)
-    )
-    return with_scd2(
-        model, spec.hash_columns, as_of, current=False, source=spec.source, batch_id=batch_id
-    )
+    """The rows of ``feed`` newer than the mark, in staged form: filter first, then rename."""
+    return staged_form(newer_than(feed, spec.modified, mark, overlap), spec, batch_id, as_of)
 
 
 # -- the whole cycle -----------------------------------------------------------------
