@@ -39,6 +39,20 @@ def test_row_numbers_with_a_hot_key(spark, hot_rows):
     assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_row_numbers_of_copies_of_one_row(spark):
+    """A third of the rows are copies of one row: they spread over the sorted partitions."""
+    copies = spark.range(0, 20000, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+    rest = spark.range(0, 40000, 1, 8).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    out = keys.row_numbers(copies.unionByName(rest), ["k"], [F.col("v")], hot_rows=5000).cache()
+    hot = out.where("k = 'hot'")
+    assert (hot.count(), hot.select("rn").distinct().count()) == (20000, 20000)
+    assert hot.agg(F.min("rn"), F.max("rn")).first()[:] == (1, 20000)
+    assert out.where("k <> 'hot' AND rn = 1").count() == 40000
+    salted = keys.stored(copies.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int")), "t")
+    spread = salted.repartitionByRange(8, "k", "v", "_salt").groupBy(F.spark_partition_id()).count()
+    assert spread.agg(F.max("count")).first()[0] < 10000
+
+
 def test_numbering_a_large_table_does_not_use_one_task(spark):
     df = spark.range(0, 50000, 1, 8).select(F.col("id").cast("string").alias("k"))
     out = keys.with_surrogate_key(df, ["k"], "sk")

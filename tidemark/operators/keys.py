@@ -6,11 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.session import shared_path
+from tidemark.session import shared_path, stored
 
 # Rows of one key that one task may sort by itself.
 HOT_KEY_ROWS = 5_000_000
+# Parts into which equal rows of a hot key are split.
+_SALTS = 4096
 # monotonically_increasing_id() holds the row's place in its partition in the low bits.
 _PLACE_BITS = 33
 
@@ -19,13 +22,15 @@ def _sorted_with_place(df: DataFrame, sort_by: Sequence[Column]) -> DataFrame:
     """Sort over the cluster and write, with each row's place in the global order.
 
     The written table fixes partition and place, so that counting and numbering
-    see the same rows even if a task runs again. Offsets are one row per sorted
-    partition.
+    see the same rows even if a task runs again. Ties are settled by the other
+    columns, so that many equal values of ``sort_by`` spread over partitions too.
+    Offsets are one row per sorted partition.
     """
     spark = df.sparkSession
     path = shared_path(spark, "numbered")
+    others = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     (
-        df.orderBy(*sort_by)
+        df.orderBy(*sort_by, *others)
         .withColumn("_row_id", F.monotonically_increasing_id())
         .select(
             "*",
@@ -54,7 +59,7 @@ def with_surrogate_key(
     """Number all rows 1..n in the order of ``order_by``, after ``start_after``.
 
     Gives what one window over the whole table gives, without its single task.
-    ``order_by`` must be unique for the numbers to be repeatable.
+    Equal values of ``order_by`` are numbered in the order of the other columns.
     """
     numbered = _sorted_with_place(df, [F.col(c) for c in order_by])
     after = start_after if isinstance(start_after, Column) else F.lit(start_after)
@@ -98,8 +103,12 @@ def row_numbers(
 
     marked = F.broadcast(hot).alias("h")
     cold_rows = df.alias("d").join(marked, same_key("d", "h"), "left_anti")
-    hot_rows_df = df.alias("d").join(marked, same_key("d", "h"), "left_semi")
-    placed = _sorted_with_place(hot_rows_df, [*[F.col(k).asc() for k in keys], *order_by])
+    hot_part = df.alias("d").join(marked, same_key("d", "h"), "left_semi")
+    # The salt is written with the rows before they are sorted by it: copies of one
+    # row then split over partitions, and a task that runs again sees the same salt.
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int")
+    salted = stored(hot_part.withColumn("_salt", salt), "hot-rows")
+    placed = _sorted_with_place(salted, [*[F.col(k).asc() for k in keys], *order_by])
     firsts = placed.groupBy(*keys).agg(F.min("_global").alias("_first"))
     numbered = (
         placed.alias("p")

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import BATCH, CURRENT, with_scd2
-from tidemark.operators.changes import latest_batch
 from tidemark.operators.scd2 import scd2_parts
 from tidemark.plans.model import TableSpec
 from tidemark.tables.versioned import VersionedTable
@@ -169,20 +168,21 @@ def run_cycle(
     mark = read_watermarks(control.read(), [spec.name])[spec.name]
     beyond = F.col(spec.load) > F.lit(mark).cast(feed.schema[spec.modified].dataType)
 
-    def state():
-        done = F.coalesce(F.max(BATCH), F.lit(0)).alias("batch")
-        return staged.read().agg(done, F.coalesce(F.max(beyond), F.lit(False)).alias("left_over")).first()
+    def last_batch() -> int:
+        return next_batches({spec.name: staged.read()}).first()["next_batch"] - 1
 
-    before = state()
-    if before["left_over"]:
-        staged.delete(beyond)
-        before = state()
-    batch_id = before["batch"] + 1
+    # Only the newest batch can be left over, since each cycle starts by removing it.
+    last = last_batch()
+    left_over = (F.col(BATCH) == last) & beyond
+    if last > 0 and not staged.read().where(left_over).isEmpty():
+        staged.delete(left_over)
+        last = last_batch()
+    batch_id = last + 1
     rows = staged.append(stage_increment(feed, spec, mark, batch_id, as_of, overlap), evolve=True)
     if rows == 0:
         return CycleResult(spec.name, None, 0)
 
-    batch = latest_batch(staged.read())
+    batch = staged.read().where(F.col(BATCH) == batch_id)
     if dim is not None:
         apply_batch(dim, batch, spec, as_of, batch_rows=rows)
     reached = next_watermark(batch, spec.name, spec.load)
