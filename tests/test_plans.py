@@ -50,3 +50,12 @@ def test_shared_folder_is_the_session_s(spark):
     from tidemark.session import shared_path
 
     assert shared_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_merge_leaves_other_rows_out_of_the_join(spark):
+    from tidemark.operators.scd2 import scd2_single_merge
+
+    dim, staged = two_sides(spark)
+    text = plan(scd2_single_merge(dim, staged.drop("batch_id"), ["k"], "2024-02-01"))
+    joined = text[text.index("LeftOuter"):]
+    assert "PartitionFilters: [isnotnull(Iscurrent" in joined

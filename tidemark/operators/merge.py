@@ -74,20 +74,23 @@ def merge_into(
     """The rows of ``target`` after merging ``source`` into it.
 
     Rows match on equal ``keys`` where ``target_condition`` (written with ``t.``)
-    holds. The first clause whose condition holds applies. A left join carries the
-    update, so a small source is broadcast and the target is not shuffled; an
-    anti join finds the rows to insert.
+    holds; the other target rows take no part in the joins. The first clause whose
+    condition holds applies. A left join carries the update, so a small source is
+    broadcast and the target is not shuffled; an anti join finds the rows to insert.
     """
     on = equal_keys(keys, "t", "s")
+    open_rows, other_rows = target, None
     if target_condition is not None:
-        on = on & target_condition
+        met = F.coalesce(target_condition, F.lit(False))
+        open_rows = target.alias("t").where(target_condition)
+        other_rows = target.alias("t").where(~met)
     out = target
 
     if matched:
         touches = _either(matched)
-        _check_unambiguous(target, source, keys, on, touches)
+        _check_unambiguous(open_rows, source, keys, on, touches)
         marked = source.withColumn("_hit", F.lit(True)).alias("s")
-        joined = target.alias("t").join(marked, on & touches, "left")
+        joined = open_rows.alias("t").join(marked, on & touches, "left")
         action = F.lit(None).cast("int")
         for i, clause in reversed(list(enumerate(matched))):
             holds = F.lit(True) if clause.condition is None else F.coalesce(clause.condition, F.lit(False))
@@ -105,15 +108,12 @@ def merge_into(
                         value = F.when(F.col("_action") == i, new.cast(f.dataType)).otherwise(value)
             columns.append(value.alias(f.name))
         out = joined.select(*columns)
+        if other_rows is not None:
+            out = out.unionByName(other_rows)
 
     if not_matched:
-        known = target.alias("t")
-        if target_condition is not None:
-            known = known.where(target_condition)
         # Only keys that the source holds go into the anti join.
-        hits = known.select(*[F.col(f"t.{k}").alias(k) for k in keys]).join(
-            source.select(*keys), list(keys), "left_semi"
-        )
+        hits = open_rows.select(*keys).join(source.select(*keys), list(keys), "left_semi")
         rest = source.join(hits, list(keys), "left_anti").select(*source.columns)
         for clause in not_matched:
             chosen = rest

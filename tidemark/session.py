@@ -27,6 +27,12 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of the file system the path names."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(jvm_path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if a count shows it has at most ``max_rows`` rows.
 

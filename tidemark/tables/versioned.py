@@ -8,12 +8,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import merge_into
+from tidemark.session import path_exists
 
 _VERSION = "commit_version"
 _DIRECTORY = rf"/data/({_VERSION}=.+)/[^/]+$"
@@ -60,12 +60,9 @@ class VersionedTable:
         return reader.json(f"{self.root}/commits")
 
     def _load(self, version: int | None = None) -> _Commit | None:
-        try:
-            commits = self._commits()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        if not path_exists(self.spark, f"{self.root}/commits"):
+            return None
+        commits = self._commits()
         if version is not None:
             commits = commits.where(F.col("version") == version)
         row = commits.orderBy(F.col("version").desc()).limit(1).first()
