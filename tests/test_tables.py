@@ -138,3 +138,12 @@ def test_schema_diff(spark):
         ("gone", "double", None, "only_a"),
         ("new", None, "date", "only_b"),
     ]
+
+
+def test_partition_values_with_special_characters(spark):
+    t = VersionedTable(spark, shared_path(spark, "odd"), partition_by=["k", "n"])
+    t.create(spark.createDataFrame([(1, "a b", 1), (2, "x/y", 1), (3, "50%", 2), (4, None, 2)], "id int, k string, n int"))
+    assert len(t._current().dirs) == 4
+    t.update({"id": F.col("id") + 10}, F.col("k").isin("a b", "x/y"))
+    t.delete(F.col("k") == "50%")
+    assert rows(t.read()) == [(11, "a b", 1), (12, "x/y", 1), (4, None, 2)]

@@ -27,19 +27,32 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, asked of the file system the path names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(jvm_path)
+    jvm_path, system = _file_system(spark, path)
+    return system.exists(jvm_path)
+
+
+def partition_directories(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """The ``column=value`` directories ``depth`` levels below ``path``, relative to it."""
+    pattern, system = _file_system(spark, "/".join([path, *["*=*"] * depth]))
+    found = [str(status.getPath().toString()) for status in system.globStatus(pattern)]
+    return sorted("/".join(name.split("/")[-depth:]) for name in found)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if a count shows it has at most ``max_rows`` rows.
 
-    The count stops at ``max_rows + 1``. Beyond it ``df`` comes back unmarked, so
-    that the join shuffles and adaptive execution splits hot keys.
+    The count is added up task by task; on files it reads their footers only. Beyond
+    the bound ``df`` comes back unmarked, so that the join shuffles and adaptive
+    execution splits hot keys.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df
 

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import merge_into
-from tidemark.session import path_exists
+from tidemark.session import partition_directories, path_exists
 
 _VERSION = "commit_version"
 _DIRECTORY = rf"/data/({_VERSION}=.+)/[^/]+$"
@@ -136,9 +136,8 @@ class VersionedTable:
             return [], 0
         if not self.partition_by:
             return [name], rows
-        # Listing the new files tells the partition directories; no job runs.
-        listed = self.spark.read.schema(df.schema).parquet(f"{self.root}/data/{name}").inputFiles()
-        return sorted({re.search(_DIRECTORY, file).group(1) for file in listed}), rows
+        parts = partition_directories(self.spark, f"{self.root}/data/{name}", len(self.partition_by))
+        return [f"{name}/{p}" for p in parts], rows
 
     def _conform(self, df: DataFrame, schema: T.StructType) -> DataFrame:
         """Columns of ``schema`` by name; absent ones NULL, unknown ones an error."""
@@ -261,7 +260,9 @@ class VersionedTable:
         if not head.dirs:
             return self._commit(operation, [], head.schema)
         hit = self._scan(head).where(where).select(self._directory().alias("d")).distinct()
-        touched = {r["d"] for r in hit.collect()}
+        touched = {unquote(r["d"]) for r in hit.collect()}
+        if not touched <= set(head.dirs):
+            raise ValueError(f"unknown directories {sorted(touched - set(head.dirs))}")
         kept = [d for d in head.dirs if d not in touched]
         if not touched:
             return self._commit(operation, kept, head.schema)
