@@ -49,7 +49,7 @@ def test_row_numbers_of_copies_of_one_row(spark):
     assert hot.agg(F.min("rn"), F.max("rn")).first()[:] == (1, 20000)
     assert out.where("k <> 'hot' AND rn = 1").count() == 40000
     salted = keys.stored(copies.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int")), "t")
-    spread = salted.repartitionByRange(8, "k", "v", "_salt").groupBy(F.spark_partition_id()).count()
+    spread = salted.repartitionByRange(8, "k", "v", F.xxhash64("k", "v", "_salt")).groupBy(F.spark_partition_id()).count()
     assert spread.agg(F.max("count")).first()[0] < 10000
 
 

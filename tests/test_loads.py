@@ -145,3 +145,33 @@ def test_stream_of_landed_files(spark, tables):
     again = feed(spark, [("a", "2", 3), ("c", "1", 3)])
     stream.load_micro_batch(again, 1, SPEC, staged, dim, "2024-05-01 00:00:00")
     assert staged.read().count() == 4 and dim.read().count() == 4
+
+
+def test_overlap_stages_late_facts_once(spark, tables):
+    staged, control, _ = tables
+
+    def load(rows):
+        return inc.run_cycle(
+            spark, SPEC, feed(spark, rows), staged, control, "2024-02-01 00:00:00", overlap=datetime.timedelta(days=3)
+        )
+
+    first = [("a", "1", 4), ("b", None, 5)]
+    assert load(first).staged_rows == 2
+    assert load([*first, ("late", "1", 3), ("c", "1", 6)]).staged_rows == 2
+    assert load([*first, ("late", "1", 3), ("c", "1", 6)]).staged_rows == 0
+    assert sorted(r["k"] for r in staged.read().collect()) == ["a", "b", "c", "late"]
+    assert mark(tables) == "2024-01-06 00:00:00"
+
+
+def test_overlap_is_harmless_for_a_dimension(spark, tables):
+    staged, control, dim = tables
+
+    def load(rows):
+        return inc.run_cycle(
+            spark, SPEC, feed(spark, rows), staged, control, "2024-02-01 00:00:00", dim, datetime.timedelta(days=3)
+        )
+
+    load([("a", "1", 4), ("a", "2", 5)])
+    load([("a", "1", 4), ("a", "2", 5), ("b", "1", 3)])
+    assert sorted((r["k"], r["v"], r["Iscurrent"]) for r in dim.read().collect()) == [("a", "2", 1), ("b", "1", 1)]
+    assert mark(tables) == "2024-01-05 00:00:00"

@@ -165,3 +165,36 @@ def test_repairs(spark, dim):
     doubled = dim.unionByName(dim)
     fixed = scd2.dedup_versions_of(doubled, F.col("b") == "1", ["k"])
     assert sorted(r["k"] for r in fixed.collect()) == ["x", "x", "y"]
+
+
+def test_product_known_counts(spark):
+    """The product fixture: 64 names, 23 changed and 21 new."""
+    from tidemark.operators.dedup import first_per_key
+
+    cols = ["product_name", "category", "color", "unit_price"]
+    parts = spark.read.parquet(f"{SF}/part.parquet").selectExpr(
+        "p_partkey", "p_name AS product_name", "p_type AS category", "p_brand AS color",
+        "CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price",
+    )
+    won = first_per_key(parts, ["product_name"], ["p_partkey"])
+    dim = with_scd2(won.select(*cols), cols, T0)
+    turn = F.col("p_partkey") % 3
+    batch = won.select(
+        F.when(turn == 2, F.concat("product_name", F.lit("-v2"))).otherwise(F.col("product_name")).alias("product_name"),
+        "category",
+        "color",
+        F.when(turn == 1, F.col("unit_price") + 1).otherwise(F.col("unit_price")).cast("decimal(18,2)").alias("unit_price"),
+    ).withColumn(HASH, row_hash(cols))
+    once = scd2.scd2_batch(dim, batch, ["product_name"], T1)
+    assert (once.count(), once.where("Iscurrent = 0").count()) == (108, 23)
+    assert once.where(F.col("start_column") == F.lit(T1).cast("timestamp")).count() == 44
+    assert Counter(scd2.scd2_batch(once, batch, ["product_name"], T2).collect()) == Counter(once.collect())
+
+
+def test_composite_keys(spark):
+    rows = spark.createDataFrame([("a", 1, "v"), ("a", 2, "v")], "k string, n int, v string")
+    dim = with_scd2(rows, ["k", "n", "v"], T0)
+    batch = spark.createDataFrame([("a", 2, "w"), ("b", 2, "v"), ("a", None, "z")], "k string, n int, v string")
+    out = scd2.scd2_batch(dim, batch.withColumn(HASH, row_hash(["k", "n", "v"])), ["k", "n"], T1)
+    got = sorted((r["k"], r["n"], r["v"], r["Iscurrent"]) for r in out.collect())
+    assert got == [("a", 1, "v", 1), ("a", 2, "v", 0), ("a", 2, "w", 1), ("b", 2, "v", 1)]

@@ -163,7 +163,7 @@ def src_json_schema(spark, sf):
 
 
 def _shaped_payloads(spark, sf):
-    """Order lines' parts as payloads of six shapes, by the part's type."""
+    """Parts as payloads of six shapes, by the part's type."""
     item = "'{\"asin\":' || p_partkey || ',\"title\":\"' || p_name || '\"}'"
     return I.table(spark, sf, "part").selectExpr(
         "p_partkey AS payload_id",

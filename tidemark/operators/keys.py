@@ -22,15 +22,15 @@ def _sorted_with_place(df: DataFrame, sort_by: Sequence[Column]) -> DataFrame:
     """Sort over the cluster and write, with each row's place in the global order.
 
     The written table fixes partition and place, so that counting and numbering
-    see the same rows even if a task runs again. Ties are settled by the other
-    columns, so that many equal values of ``sort_by`` spread over partitions too.
+    see the same rows even if a task runs again. Ties are settled by a hash of the
+    row, so that many equal values of ``sort_by`` spread over partitions too.
     Offsets are one row per sorted partition.
     """
     spark = df.sparkSession
     path = shared_path(spark, "numbered")
     others = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     (
-        df.orderBy(*sort_by, *others)
+        df.orderBy(*sort_by, F.xxhash64(*others))
         .withColumn("_row_id", F.monotonically_increasing_id())
         .select(
             "*",
@@ -59,7 +59,7 @@ def with_surrogate_key(
     """Number all rows 1..n in the order of ``order_by``, after ``start_after``.
 
     Gives what one window over the whole table gives, without its single task.
-    Equal values of ``order_by`` are numbered in the order of the other columns.
+    Equal values of ``order_by`` are numbered in an order of their own, the same each time.
     """
     numbered = _sorted_with_place(df, [F.col(c) for c in order_by])
     after = start_after if isinstance(start_after, Column) else F.lit(start_after)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import equal_keys
+from tidemark.session import stored
 
 
 class AmbiguousMerge(ValueError):
@@ -51,9 +52,11 @@ def _check_unambiguous(
     if repeated.isEmpty():
         return
     doubled = source.join(repeated, list(keys), "left_semi")
+    # Row ids are written with the rows: a task that runs again sees the same ids.
+    candidates = target.join(repeated, list(keys), "left_semi").select(*target.columns)
+    numbered = stored(candidates.withColumn("_row", F.monotonically_increasing_id()), "merge-check")
     hits = (
-        target.withColumn("_row", F.monotonically_increasing_id())
-        .alias("t")
+        numbered.alias("t")
         .join(doubled.alias("s"), on & touches, "inner")
         .groupBy("t._row")
         .count()

@@ -120,6 +120,21 @@ def stage_increment(
     return staged_form(newer_than(feed, spec.modified, mark, overlap), spec, batch_id, as_of)
 
 
+def not_staged(
+    increment: DataFrame, staged: DataFrame, spec: TableSpec, mark: datetime | str, overlap: timedelta
+) -> DataFrame:
+    """Rows of an overlapping increment that the staged table does not hold yet.
+
+    All model columns and the load date are compared, NULLs as values. Only staged
+    rows within the margin take part.
+    """
+    margin = newer_than(staged, spec.load, mark, overlap)
+    same = F.lit(True)
+    for c in [*[t for _, t in spec.columns], spec.load]:
+        same = same & F.col(f"i.{c}").eqNullSafe(F.col(f"m.{c}"))
+    return increment.alias("i").join(margin.alias("m"), same, "left_anti")
+
+
 # -- the whole cycle -----------------------------------------------------------------
 
 
@@ -163,7 +178,8 @@ def run_cycle(
 
     The mark moves last. Staged rows beyond it are those of a cycle that stopped
     half way: they are removed and staged again, so a cycle can be repeated. With
-    nothing new, dimension and mark stay as they are.
+    nothing new, dimension and mark stay as they are. With an ``overlap`` late rows
+    are found; without a dimension those staged before are not staged twice.
     """
     mark = read_watermarks(control.read(), [spec.name])[spec.name]
     beyond = F.col(spec.load) > F.lit(mark).cast(feed.schema[spec.modified].dataType)
@@ -178,7 +194,10 @@ def run_cycle(
         staged.delete(left_over)
         last = last_batch()
     batch_id = last + 1
-    rows = staged.append(stage_increment(feed, spec, mark, batch_id, as_of, overlap), evolve=True)
+    increment = stage_increment(feed, spec, mark, batch_id, as_of, overlap)
+    if overlap is not None and dim is None:
+        increment = not_staged(increment, staged.read(), spec, mark, overlap)
+    rows = staged.append(increment, evolve=True)
     if rows == 0:
         return CycleResult(spec.name, None, 0)
 
