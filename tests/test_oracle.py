@@ -2,11 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as entry_module
+import __spark_entry__  # noqa: F401  registers the queries
 from tests.compare import differences, duck
-
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+from tidemark.checks.registry import ORACLES as SQL
+from tidemark.checks.registry import QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -1,5 +1,3 @@
-import pytest
-
 from tidemark.session import shared_path
 
 
@@ -20,10 +18,6 @@ def test_the_named_folder_is_used():
     assert shared_path(session, "t") != shared_path(session, "t")
 
 
-def test_a_cluster_without_the_folder_is_an_error():
-    with pytest.raises(ValueError):
-        shared_path(Session(spark_master="spark://host:7077"), "t")
-
-
-def test_a_local_session_may_use_a_temporary_folder():
-    assert "/tidemark-" in shared_path(Session(spark_master="local[2]"), "t")
+def test_the_warehouse_stands_in_for_an_unset_folder():
+    session = Session(spark_sql_warehouse_dir="hdfs://store/wh/")
+    assert shared_path(session, "t").startswith("hdfs://store/wh/_scratch/t-")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +15,12 @@ BROADCAST_ROWS = 500_000
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path under the folder all executors share.
 
-    The folder is the one named in ``spark.checkpoint.dir``. A temporary folder
-    stands in only where that is unset and the session runs in one process.
+    The folder is the one named in ``spark.checkpoint.dir``, else ``_scratch`` under the
+    warehouse, which executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
