@@ -23,7 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import SPACE, carried, handed_back, text_of, words_of
+from tidemark.llm.words import blanked, carried, handed_back, text_of, words_of
+from tidemark.session import stored
 
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
@@ -45,25 +46,28 @@ class Limits:
     depleted_percent: int = 50
 
 
-def normalised(line: Column) -> Column:
-    """A line in lower case with single blanks; empty if it has no word."""
-    return F.lower(F.btrim(F.regexp_replace(line, SPACE, " ")))
-
-
 def with_counts(rows: DataFrame) -> DataFrame:
-    """Adds the base counts to rows that have a ``text`` without nulls."""
-    rows = rows.withColumn("words", words_of(F.col("text")))
-    rows = rows.withColumn("n_words", F.size("words").cast("long"))
+    """Adds the base counts and ``lines`` to rows that have a ``text`` without nulls.
+
+    ``lines`` has, for each line with a word, the digest of its normalised form (lower
+    case, single blanks) and its number of words.
+    """
+    given = rows.columns
     rows = rows.withColumn(
-        "windows",
-        F.when(
-            F.col("n_words") >= WINDOW,
-            F.transform(
-                F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)),
-                lambda i: F.xxhash64(F.slice("words", i, WINDOW)),
-            ),
-        ),
+        "by_line",
+        F.transform(F.split(blanked(F.col("text"), "\n"), "\n"), lambda x: F.array_remove(F.split(x, " "), "")),
     )
+    rows = rows.withColumn("words", F.flatten("by_line"))
+    rows = rows.withColumn("n_words", F.size("words").cast("long"))
+    # A window's hash is put together from those of its halves, down to the words: each
+    # level pairs the array with itself moved on.
+    rows = rows.withColumn("windows", F.transform("words", lambda w: F.xxhash64(w)))
+    for step in (1, 2, 4):
+        moved = F.slice("windows", step + 1, F.size("windows"))
+        rows = rows.withColumn(
+            "windows", F.when(F.col("n_words") >= WINDOW, F.zip_with("windows", moved, lambda a, b: F.xxhash64(a, b)))
+        )
+    rows = rows.withColumn("windows", F.slice("windows", F.lit(1), F.size("words") - (WINDOW - 1)))
     # Few texts hold a window twice; only theirs are sorted.
     rows = rows.withColumn(
         "sorted",
@@ -86,39 +90,35 @@ def with_counts(rows: DataFrame) -> DataFrame:
         ),
         lambda acc: acc["n"],
     )
-    lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
-    rows = rows.withColumn("lines", lines)
+    with_word = lambda _, i: F.size(F.get("by_line", i)) > 0
+    rows = rows.withColumn("raw", F.filter(F.split("text", "\n"), with_word))
+    entry = lambda w: F.struct(line_digest(w).alias("line"), F.size(w).alias("n"))
     return rows.select(
-        *[c for c in rows.columns if c not in ("words", "windows", "sorted", "places", "lines")],
+        *given,
+        "n_words",
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        (F.size("raw") - F.size(F.array_distinct("raw"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+        F.transform(F.filter("by_line", lambda w: F.size(w) > 0), entry).alias("lines"),
     )
 
 
-def boilerplate(docs: DataFrame, text: str, host: str, limits: Limits) -> DataFrame:
+def line_digest(words: Column) -> Column:
+    return F.unhex(F.md5(F.lower(F.array_join(words, " "))))
+
+
+def boilerplate(rows: DataFrame, limits: Limits) -> DataFrame:
     """Per distinct text of a host that holds frequent lines: their digests and their words.
 
-    Exact copies are merged before the lines are counted, and counts are summed in each
-    task before the shuffle, so that neither a copied text nor a frequent line gathers
-    rows in one task. The join with the frequent lines is left to adaptive execution:
-    there are at most ``100 / line_percent`` times the mean lines of a document for each
-    host, and a hot key on the other side is split.
+    ``rows`` has ``host``, ``digest`` and ``lines``. Exact copies are merged before the
+    lines are counted, and counts are summed in each task before the shuffle, so that
+    neither a copied text nor a frequent line gathers rows in one task. The join with the
+    frequent lines is left to adaptive execution: there are at most ``100 / line_percent``
+    times the mean lines of a document for each host, and a hot key on the other side is
+    split.
     """
-    entry = lambda line: F.struct(
-        F.unhex(F.md5(normalised(line))).alias("line"), F.size(words_of(line)).alias("n")
-    )
-    texts = (
-        docs.select(F.col(host).alias("host"), text_of(docs[text]).alias("text"))
-        .select(
-            "host",
-            F.unhex(F.md5("text")).alias("digest"),
-            F.transform(F.filter(F.split("text", "\n"), lambda x: normalised(x) != ""), entry).alias("lines"),
-        )
-        .groupBy("host", "digest")
-        .agg(F.first("lines").alias("lines"))
-    )
+    texts = rows.groupBy("host", "digest").agg(F.first("lines").alias("lines"))
     hosts = texts.groupBy("host").agg(F.count("*").alias("host_docs"))
     exploded = texts.select("host", "digest", F.explode("lines").alias("x")).select("host", "digest", "x.line", "x.n")
     held = exploded.groupBy("host", "digest", "line").agg(F.sum("n").alias("n"))
@@ -144,15 +144,18 @@ def judged(
     host: str = "source",
     carry: Sequence[str] | None = None,
     limits: Limits = Limits(),
+    keep_text: bool = False,
 ) -> DataFrame:
     """Each document with its counts, ``removed_words``, ``base_failed`` and ``kept``.
 
-    ``cleaned`` is the text without its frequent lines.
+    With ``keep_text`` also ``cleaned``, the text without its frequent lines.
     """
     names = docs.columns if carry is None else list(carry)
     rows = docs.select(carried(docs, carry), docs[host].alias("host"), text_of(docs[text]).alias("text"))
+    # The texts are read once; what both the counts and the line rule need of them is written.
     rows = with_counts(rows).withColumn("digest", F.unhex(F.md5("text")))
-    marks = boilerplate(docs, text, host, limits)
+    rows = stored(rows if keep_text else rows.drop("text"), "quality")
+    marks = boilerplate(rows, limits)
     joined = rows.alias("r").join(
         marks.alias("m"), F.col("r.host").eqNullSafe(F.col("m.host")) & (F.col("r.digest") == F.col("m.digest")), "left"
     )
@@ -163,9 +166,10 @@ def judged(
     depleted = (F.col("n_words") - gone < limits.min_words) | (
         gone * 100 > F.col("n_words") * limits.depleted_percent
     )
-    stay = F.filter(
-        F.split("text", "\n"), lambda x: ~F.array_contains("frequent", F.unhex(F.md5(normalised(x))))
-    )
+    cleaned = {}
+    if keep_text:
+        stay = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("frequent", line_digest(words_of(x))))
+        cleaned["cleaned"] = F.when(F.col("frequent").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     return handed_back(
         joined,
         names,
@@ -174,16 +178,24 @@ def judged(
             "removed_words": gone.cast("long"),
             "base_failed": failed,
             "kept": ~failed & ~((gone > 0) & depleted),
-            "cleaned": F.when(F.col("frequent").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n")),
+            **cleaned,
         },
     )
 
 
-def filtered(docs: DataFrame, text: str = "text", host: str = "source", limits: Limits = Limits()) -> DataFrame:
+def filtered(
+    docs: DataFrame,
+    text: str = "text",
+    host: str = "source",
+    n_chars: str = "n_chars",
+    limits: Limits = Limits(),
+) -> DataFrame:
     """The documents that pass, without their frequent lines, in the columns of ``docs``."""
     names = docs.columns
-    rows = docs.select(F.struct("*").alias("row"), text, host)
-    passed = judged(rows, text, host, ["row"], limits).where("kept")
-    return passed.select(
-        *[F.col("cleaned").alias(n) if n == text else F.col("row").getField(n).alias(n) for n in names]
-    )
+    # The text itself is carried once, as the operator's own column.
+    rest = F.struct(*[docs[f"`{n}`"] for n in names if n != text]).alias("rest")
+    passed = judged(docs.select(rest, text, host), text, host, ["rest"], limits, keep_text=True).where("kept")
+    made = {text: F.col("cleaned")}
+    if n_chars in names:
+        made[n_chars] = F.length("cleaned").cast("long")
+    return passed.select(*[made[n].alias(n) if n in made else F.col("rest").getField(n).alias(n) for n in names])

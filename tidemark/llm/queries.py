@@ -114,4 +114,4 @@ FROM failed
 @query("op8_quality_rules", QUALITY_SQL)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return quality.judged(docs, carry=["doc_id"]).drop("cleaned")
+    return quality.judged(docs, carry=["doc_id"])

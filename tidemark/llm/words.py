@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # White space between words: the blank and the five control characters from tab to return.
-SPACE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -18,10 +17,17 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+def blanked(text: Column, keep: str = "") -> Column:
+    """The text with every white space sign, but for those in ``keep``, made a blank."""
+    for sign in BLANKS[1:]:
+        if sign not in keep:
+            text = F.replace(text, F.lit(sign), F.lit(" "))
+    return text
+
+
 def words_of(text: Column) -> Column:
     """The words of a text that is not null, as an array."""
-    inner = F.btrim(text, F.lit(BLANKS))
-    return F.when(inner != "", F.split(inner, SPACE)).otherwise(F.array().cast("array<string>"))
+    return F.array_remove(F.split(blanked(text), " "), "")
 
 
 def carried(docs: DataFrame, carry: Sequence[str] | None) -> Column:
