@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, quality
+from tidemark.llm import chat, jaccard, mixing, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,3 +115,48 @@ FROM failed
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality.judged(docs, carry=["doc_id"])
+
+
+@query("op10_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(text, chr(10)) AS units FROM documents),
+u AS (
+    SELECT doc_id, i, units[i] AS unit, units,
+        list_filter(regexp_split_to_array(units[i], '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM (SELECT doc_id, units, unnest(range(1, len(units) + 1)) AS i FROM d)
+),
+n AS (
+    SELECT doc_id, i, unit, len(words) >= 8 AS counts, lower(array_to_string(words, ' ')) AS form,
+        coalesce(sum(length(unit) + 1) OVER (
+            PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM u
+),
+ranked AS (
+    SELECT *, counts AND row_number() OVER (PARTITION BY counts, form ORDER BY doc_id, i) > 1 AS gone FROM n
+),
+cut AS (
+    SELECT doc_id,
+        coalesce(string_agg(unit, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text,
+        coalesce(string_agg(start || '-' || (start + length(unit)), ',' ORDER BY i) FILTER (WHERE gone), '') AS removed_spans,
+        CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed
+    FROM ranked GROUP BY doc_id
+)
+SELECT doc_id, text, removed_spans, n_removed FROM cut
+"""
+
+
+@query("op2_substring_dedup", SUBSTRING_SQL)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without lines seen before, with the offsets of what went."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    span = lambda s: F.concat(s["start"], F.lit("-"), s["end"])
+    return substrings.deduplicated(docs).select(
+        "doc_id",
+        "text",
+        F.array_join(F.transform("removed", span), ",").alias("removed_spans"),
+        F.size("removed").cast("long").alias("n_removed"),
+    )
