@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, jaccard, mixing, quality, substrings
+from tidemark.llm import chat, jaccard, language, mixing, quality, sentencepiece, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -160,3 +160,35 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("removed", span), ",").alias("removed_spans"),
         F.size("removed").cast("long").alias("n_removed"),
     )
+
+
+def remainder(doc_id: str, by: int) -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % by
+
+
+@query("op1_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 3) == 1
+    model = language.fitted(docs.where(~held_out), "text", "lang", F.xxhash64("doc_id"))
+    found = language.predicted(docs.select("doc_id", "text"), model, carry=["doc_id"])
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 5) == 0
+    model = toxicity.fitted(docs, table(spark, sf_dir, "labels"), ~held_out)
+    found = toxicity.scored(docs, model, carry=["doc_id"])
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op9_sentencepiece")
+def sentencepiece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document, and whether decoding them gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece.encoded(docs, sentencepiece.Model.read(PIECES))
