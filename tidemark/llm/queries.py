@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, jaccard, language, mixing, quality, sentencepiece, substrings, toxicity
+from tidemark.llm import (
+    chat,
+    jaccard,
+    language,
+    metric_tree,
+    mixing,
+    pages,
+    quality,
+    sentencepiece,
+    substrings,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,3 +203,32 @@ def sentencepiece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of every document, and whether decoding them gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece.encoded(docs, sentencepiece.Model.read(PIECES))
+
+
+EXACT_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score
+FROM scored
+QUALIFY rank <= 10
+"""
+
+
+@query("op5_exact_top_k", EXACT_SQL)
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op6_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
