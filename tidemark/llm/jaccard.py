@@ -214,18 +214,20 @@ def links(sets: list[tuple[int, np.ndarray]], percent: int) -> Iterator[tuple[in
 
 
 def sized(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """(doc_id, n, sid) of each document."""
+    """(doc_id, key, n, sid) of each document; ``key`` is a hash of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, size) for t in batch.column(1).to_pylist()]
+            sets = [shingle_set(t, size) for t in batch.column(2).to_pylist()]
+            sizes, names = [len(s) for s in sets], [set_id(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())],
-                names=["doc_id", "n", "sid"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())],
+                names=["doc_id", "key", "n", "sid"],
             )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(docs[text]).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, sid long")
+    body = text_of(docs[text])
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("key"), body.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, key long, n long, sid long")
 
 
 def signed(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
@@ -299,16 +301,42 @@ def block_links(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str,
     return rows.mapInPandas(run, "a long, b long")
 
 
-def joined(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each document."""
+def _labelled(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, n, label) of the documents with a set, and (doc_id, key, n) of the others."""
     ids = stored(sized(docs, doc_id, text, size), "shingle-sets")
     blocks = components(candidate_edges(signed(docs, text, size, percent)))
     found = components(block_links(docs, ids, blocks, doc_id, text, size, percent))
     named = ids.where("n > 0").join(found.withColumnRenamed("node", "sid"), "sid", "left")
-    named = named.select("doc_id", "n", F.coalesce("label", "sid").alias("label"))
+    named = named.select("doc_id", "key", "n", F.coalesce("label", "sid").alias("label"))
+    return named, ids.where("n = 0").select("doc_id", "key", "n")
+
+
+def joined(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each document."""
+    named, empty = _labelled(docs, doc_id, text, size, percent)
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     full = named.join(smallest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = ids.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty)
+    alone = empty.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return full.unionByName(alone)
+
+
+def representatives(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
+) -> DataFrame:
+    """The document with the smallest id of each component, in the columns of ``docs``.
+
+    Of rows with the same id and text one stays; null ids come after all others. Texts
+    without a word are components of their own.
+    """
+    named, empty = _labelled(docs, doc_id, text, size, percent)
+    last = F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc")
+    first = named.groupBy("label").agg(F.min(F.struct(last, "key")).alias("first")).select("first.doc", "first.key")
+    kept = first.union(empty.select(last, "key")).distinct()
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce(docs[doc_id].cast("long"), F.lit(2**63 - 1)).alias("doc"),
+        F.xxhash64(text_of(docs[text])).alias("key"),
+    )
+    return rows.join(kept, ["doc", "key"]).dropDuplicates(["doc", "key"]).select("row.*")

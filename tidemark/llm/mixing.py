@@ -132,7 +132,7 @@ class Mix:
             F.size(words_of(text_of(docs[text]))).cast("long").alias("size"),
             F.md5(text_of(docs[text])).alias("digest"),
         )
-        sized = stored(sized.withColumn("place", F.xxhash64(F.lit(plan.seed), "digest", F.to_json("row"))), "mix-sizes")
+        sized = stored(sized.withColumn("place", F.xxhash64(F.lit(plan.seed), "digest", "row")), "mix-sizes")
         self.sources = self._sources(sized)
         self.docs = self._placed(sized)
 
