@@ -9,11 +9,10 @@
    these. A set's parts, digested, are its signatures. A set with too few such parts also
    gives the hashes of its prefix, which two such sets must share.
 3. Sets that share signatures, directly or in a chain, are a block. In a block the sets
-   are searched one after the other: an inverted index over cluster centres is asked for
-   those that share T hashes. DivideSkip merges the short lists with a heap and probes
-   the long ones by binary search. A set that a centre links to joins its cluster; the
-   triangle inequality of the Jaccard distance tells which clusters need a look at their
-   members. Links within a component already known are not looked for again.
+   are searched one after the other: an inverted index over those before is asked for
+   sets that share T hashes. DivideSkip merges the short lists with a heap and probes the
+   long ones by binary search. What copies were made from comes first; a set linked to
+   such a hub is not looked up again among the sets that the hub's component holds.
 4. Links of different sets are joined to components.
 
 Large blocks are dealt out in chunks, and each pair of chunks is a task of its own, so a
@@ -33,7 +32,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
-from bisect import bisect_left
+from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import groupby
@@ -141,32 +141,46 @@ def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def t_occurrence(lists: list[list[int]], least: int) -> dict[int, int]:
+def t_occurrence(lists: list[array], least: int) -> dict[int, int]:
     """Ids found on at least ``least`` of the ascending lists, with their numbers: DivideSkip."""
     if len(lists) < least:
         return {}
     lists = sorted(lists, key=len)
-    longest = len(lists[-1])
-    skipped = min(least - 1, int(least / (MU * math.log2(longest + 1) + 1)))
+    skipped = min(least - 1, int(least / (MU * math.log2(len(lists[-1]) + 1) + 1)))
     short, long = lists[: len(lists) - skipped], lists[len(lists) - skipped :]
-    out = {}
-    for found, same in groupby(heapq.merge(*short)):
-        count = sum(1 for _ in same)
-        if count < least - skipped:
-            continue
-        for i, places in enumerate(long):
-            if count + len(long) - i < least:
-                break
-            at = bisect_left(places, found)
-            count += at < len(places) and places[at] == found
-        else:
-            if count >= least:
-                out[found] = count
-    return out
+    merged = Counter(heapq.merge(*short))
+    found = np.array([i for i, n in merged.items() if n >= least - skipped], dtype=np.int32)
+    counts = np.array([merged[i] for i in found.tolist()], dtype=np.int64)
+    for left, places in zip(range(len(long), 0, -1), long, strict=True):
+        open_ = counts + left >= least
+        if not open_.all():
+            found, counts = found[open_], counts[open_]
+        if not len(found):
+            return {}
+        row = np.frombuffer(places, dtype=np.int32)
+        # Binary search of every candidate still open in the long list.
+        at = np.minimum(np.searchsorted(row, found), len(row) - 1)
+        counts += row[at] == found
+    return {i: n for i, n in zip(found.tolist(), counts.tolist(), strict=True) if n >= least}
+
+
+def central_first(sets: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray]]:
+    """Sets whose hashes most others hold come first: what copies were made from, before the copies."""
+    if not sets:
+        return []
+    _, where, counts = np.unique(np.concatenate([h for _, h in sets]), return_inverse=True, return_counts=True)
+    starts = np.cumsum([0] + [len(h) for _, h in sets[:-1]])
+    mean = np.add.reduceat(counts[where], starts) / [len(h) for _, h in sets]
+    return [sets[i] for i in sorted(range(len(sets)), key=lambda i: (-mean[i], sets[i][0]))]
 
 
 def links(sets: list[tuple[int, np.ndarray]], percent: int) -> Iterator[tuple[int, int]]:
-    """Links that join the components of the sets given: at most one less than there are sets."""
+    """Links that join the components of the sets given: at most one less than there are sets.
+
+    A set that a hub of the main component links to needs no other link into it: it is
+    looked up only among the sets that were outside of it when they came.
+    """
+    sets = central_first(sets)
     root = list(range(len(sets)))
 
     def find(i: int) -> int:
@@ -178,39 +192,37 @@ def links(sets: list[tuple[int, np.ndarray]], percent: int) -> Iterator[tuple[in
     def linked(both: int, a: int, b: int) -> bool:
         return 100 * both >= percent * (a + b - both)
 
-    near = max(1, 2 * percent - 100)
-    index: dict[int, list[int]] = {}
-    members: dict[int, list[tuple[int, int]]] = {}
+    main: dict[int, array] = {}
+    rest: dict[int, array] = {}
+    hubs: list[int] = []
     for i, (sid, hashes) in enumerate(sets):
         n = len(hashes)
+        by_hub = False
+        for c in hubs:
+            other = sets[c][1]
+            if linked(min(n, len(other)), n, len(other)) and linked(
+                len(np.intersect1d(hashes, other, assume_unique=True)), n, len(other)
+            ):
+                root[i] = find(c)
+                by_hub = True
+                yield sid, sets[c][0]
+                break
         tokens = hashes.tolist()
-        found = t_occurrence([index[t] for t in tokens if t in index], max(1, -(-near * n // 100)))
-        centre = None
-        for c, both in found.items():
-            if linked(both, n, len(sets[c][1])):
-                if centre is None:
-                    centre = c
-                    members[c].append((i, both))
-                if find(i) != find(c):
+        for index in (rest,) if by_hub else (main, rest):
+            lists = [index[t] for t in tokens if t in index]
+            for c, both in t_occurrence(lists, -(-percent * n // 100)).items():
+                if linked(both, n, len(sets[c][1])) and find(i) != find(c):
                     root[find(i)] = find(c)
                     yield sid, sets[c][0]
-        for c, both in found.items():
-            size = len(sets[c][1])
-            far = 1 - both / (n + size - both)
-            for m, shared in members[c]:
-                if m == i or find(m) == find(i):
-                    continue
-                other = sets[m][1]
-                between = 1 - shared / (size + len(other) - shared)
-                if abs(far - between) > 1 - percent / 100 + 1e-9:
-                    continue
-                if linked(len(np.intersect1d(hashes, other, assume_unique=True)), n, len(other)):
-                    root[find(i)] = find(m)
-                    yield sid, sets[m][0]
-        if centre is None:
-            members[i] = []
-            for t in tokens:
-                index.setdefault(t, []).append(i)
+        inside = not hubs or find(i) == find(hubs[0])
+        if inside and not by_hub and len(hubs) < 4:
+            hubs.append(i)
+        index = main if inside else rest
+        for t in tokens:
+            if t in index:
+                index[t].append(i)
+            else:
+                index[t] = array("i", (i,))
 
 
 def sized(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
@@ -294,8 +306,7 @@ def block_links(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str,
 
         for _, group in groupby(sets(), key=lambda x: x[0]):
             distinct = {sid: hashes for _, sid, hashes in group}
-            ordered = sorted(distinct.items(), key=lambda x: (len(x[1]), x[0]))
-            if found := list(links(ordered, percent)):
+            if found := list(links(list(distinct.items()), percent)):
                 yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return rows.mapInPandas(run, "a long, b long")
