@@ -143,8 +143,11 @@ def test_stream_of_landed_files(spark, tables):
     ]
     # The last micro-batch delivered once more.
     again = feed(spark, [("a", "2", 3), ("c", "1", 3)])
-    stream.load_micro_batch(again, 1, SPEC, staged, dim, "2024-05-01 00:00:00")
+    stream.load_micro_batch(again, 1, SPEC, staged, dim, "2024-05-01 00:00:00", checkpoint)
     assert staged.read().count() == 4 and dim.read().count() == 4
+    # Another checkpoint starts at number 0 again and leaves what is staged.
+    stream.load_micro_batch(feed(spark, [("z", "1", 4)]), 0, SPEC, staged, dim, "2024-05-01 00:00:00", "other")
+    assert staged.read().count() == 5
 
 
 def test_overlap_stages_late_facts_once(spark, tables):

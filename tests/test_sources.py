@@ -138,7 +138,7 @@ def test_config_load_reports_failures(spark):
 
 
 def test_mapping_errors(spark):
-    schema = "lakehouse_table string, source_column string, destination_column string, is_key int, is_active int"
+    schema = "target_table string, source_column string, destination_column string, is_key int, is_active int"
     twice = spark.createDataFrame([("t", "a", "X", 0, 1), ("t", "b", "x", 0, 1)], schema)
     with pytest.raises(ValueError):
         C.mapping_pairs(twice, "t")

@@ -81,7 +81,7 @@ def prj_mapping_driven(spark, sf):
             ("factorder", "src_orders", "src_o_orderpriority", "priority", "order_key", 0, 0),
             ("dimcustomer", "src_customer", "src_c_name", "customer_name", "customer_key", 0, 1),
         ],
-        "lakehouse_table string, dataverse_table string, source_column string, "
+        "target_table string, source_table string, source_column string, "
         "destination_column string, destination_key string, is_key int, is_active int",
     )
     return C.project_by_mapping(_prefixed(I.table(spark, sf, "orders")), mapping, "factorder")
@@ -99,14 +99,14 @@ def prj_rename(spark, sf):
 
 @query(
     "prj_cast",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS key_text, CAST(o_orderkey AS INT) AS key_int,
+    """SELECT CAST(o_orderkey AS VARCHAR) AS key_text, CAST(o_orderkey AS BIGINT) AS key_int,
     TRY_CAST(o_orderpriority AS INT) AS priority_int, CAST(o_orderdate AS VARCHAR) AS order_ts,
     CAST(1 AS INT) AS flag FROM orders""",
 )
 def prj_cast(spark, sf):
     return I.table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("key_text"),
-        F.col("o_orderkey").cast("string").cast("int").alias("key_int"),
+        F.col("o_orderkey").cast("string").cast("bigint").alias("key_int"),
         F.expr("try_cast(o_orderpriority AS int)").alias("priority_int"),
         F.col("o_orderdate").cast("string").cast("timestamp").alias("order_ts"),
         F.lit(1).cast("int").alias("flag"),
@@ -316,7 +316,7 @@ def lim_ordered(spark, sf):
 @query(
     "set_union_master",
     f"""WITH {I.CUST_BATCH_SQL}
-    SELECT {I.CUST_COLS}, CAST(load_date AS VARCHAR) AS load_date, hash, 'dataverse' AS "Source_column",
+    SELECT {I.CUST_COLS}, CAST(load_date AS VARCHAR) AS load_date, hash, 'landing' AS "Source_column",
       CAST(NULL AS INT) AS "Iscurrent" FROM batch
     UNION ALL
     SELECT {I.CUST_COLS}, NULL, hash, 'source', "Iscurrent" FROM dim""",

@@ -317,7 +317,7 @@ _ORDER_REST = ", ".join(c for c in ORDER_DIM_COLUMNS if c != "order_id")
 @query(
     "pl_dim_orders",
     f"""WITH {I.LINES_SQL},
-    o AS (SELECT CAST(order_id AS INT) AS order_id, {_ORDER_REST} FROM order_lines),
+    o AS (SELECT CAST(order_id AS BIGINT) AS order_id, {_ORDER_REST} FROM order_lines),
     one AS (SELECT * EXCLUDE (nth) FROM (
       SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {_ORDER_REST}) AS nth FROM o) WHERE nth = 1)
     SELECT order_id, {_ORDER_REST}, '{I.T0}' AS start_column, '{I.OPEN}' AS end_date,

@@ -22,7 +22,7 @@ T1 = "2024-02-01 00:00:00"
 OPEN = "9999-12-31 00:00:00"
 BATCH_CUT = "2001-01-01 00:00:00"
 PREFIX = "src_"
-BATCH_SOURCE = "dataverse"
+BATCH_SOURCE = "landing"
 
 
 # Columns of the test tables: naming them saves the look into each file before a job.

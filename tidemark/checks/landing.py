@@ -291,7 +291,11 @@ def json_flatten_record(spark, sf):
 
 def _save(spark, root):
     def write(df, target):
-        VersionedTable(spark, f"{root}/{target}").create(df)
+        table = VersionedTable(spark, f"{root}/{target}")
+        if table.exists():
+            table.overwrite(df, schema="replace")
+        else:
+            table.create(df)
 
     return write
 

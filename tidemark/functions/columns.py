@@ -84,7 +84,7 @@ def rename_select(df: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
     return df.select([F.col(source).alias(target) for source, target in pairs])
 
 
-def mapping_pairs(mapping: DataFrame, table: str, max_columns: int = 10_000) -> list[tuple[str, str]]:
+def mapping_pairs(mapping: DataFrame, table: str, table_column: str = "target_table") -> list[tuple[str, str]]:
     """The active ``(source_column, destination_column)`` pairs of one table.
 
     ``mapping`` is the control table that describes columns, so its rows for one
@@ -93,15 +93,12 @@ def mapping_pairs(mapping: DataFrame, table: str, max_columns: int = 10_000) ->
     twice is an error.
     """
     rows = (
-        mapping.where((F.trim("lakehouse_table") == F.lit(table.strip())) & (F.col("is_active") == 1))
+        mapping.where((F.trim(table_column) == F.lit(table.strip())) & (F.col("is_active") == 1))
         .select("source_column", "destination_column", "is_key")
         .distinct()
         .orderBy(F.col("is_key").desc(), "destination_column", "source_column")
-        .limit(max_columns + 1)
         .collect()
     )
-    if len(rows) > max_columns:
-        raise ValueError(f"more than {max_columns} mapped columns for {table}")
     targets = [r["destination_column"].lower() for r in rows]
     if len(set(targets)) != len(targets):
         raise ValueError(f"two sources map to one column of {table}")

@@ -8,11 +8,12 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.columns import BATCH, CURRENT, with_scd2
 from tidemark.operators.scd2 import scd2_parts
 from tidemark.plans.model import TableSpec
-from tidemark.tables.versioned import VersionedTable
+from tidemark.tables.versioned import ConcurrentCommit, VersionedTable
 
 # Fixed value: the mark of a table never loaded.
 FIRST_MARK = "1900-01-01 00:00:00"
@@ -125,14 +126,24 @@ def not_staged(
 ) -> DataFrame:
     """Rows of an overlapping increment that the staged table does not hold yet.
 
-    All model columns and the load date are compared, NULLs as values. Only staged
-    rows within the margin take part.
+    All model columns and the load date are compared, NULLs as values. Equal rows are
+    counted: what was delivered twice and staged once gives one row. Only staged rows
+    within the margin take part.
     """
-    margin = newer_than(staged, spec.load, mark, overlap)
+    compared = [*[t for _, t in spec.columns], spec.load]
+    held = newer_than(staged, spec.load, mark, overlap).groupBy(*compared).agg(F.count(F.lit(1)).alias("_held"))
     same = F.lit(True)
-    for c in [*[t for _, t in spec.columns], spec.load]:
+    for c in compared:
         same = same & F.col(f"i.{c}").eqNullSafe(F.col(f"m.{c}"))
-    return increment.alias("i").join(margin.alias("m"), same, "left_anti")
+    # Equal rows are alike in what is compared, so any of them may be the ones held.
+    nth = F.row_number().over(Window.partitionBy(*compared).orderBy(F.lit(1)))
+    return (
+        increment.withColumn("_nth", nth)
+        .alias("i")
+        .join(held.alias("m"), same, "left")
+        .where(F.col("_nth") > F.coalesce("_held", F.lit(0)))
+        .select(*[F.col(f"i.{c}") for c in increment.columns])
+    )
 
 
 # -- the whole cycle -----------------------------------------------------------------
@@ -205,5 +216,16 @@ def run_cycle(
     if dim is not None:
         apply_batch(dim, batch, spec, as_of, batch_rows=rows)
     reached = next_watermark(batch, spec.name, spec.load)
-    control.overwrite(advance_watermarks(control.read(), reached))
+    _advance(control, reached)
     return CycleResult(spec.name, batch_id, rows)
+
+
+def _advance(control: VersionedTable, reached: DataFrame, tries: int = 20) -> None:
+    """Move marks in a control table that other cycles write as well."""
+    for left in reversed(range(tries)):
+        control.refresh()
+        try:
+            return control.overwrite(advance_watermarks(control.read(), reached))
+        except ConcurrentCommit:
+            if not left:
+                raise

@@ -59,11 +59,16 @@ def dim_product(orders: DataFrame, as_of) -> DataFrame:
 
 
 def dim_orders(orders: DataFrame, as_of) -> DataFrame:
-    """Order dimension; text ids that are no number become NULL. Only the id is hashed."""
-    rows = orders.withColumn("order_id", F.expr("try_cast(order_id AS int)"))
+    """Order dimension. Only the id is hashed; ids that are no number are in ``order_rejects``."""
+    rows = orders.withColumn("order_id", F.expr("try_cast(order_id AS bigint)")).where("order_id IS NOT NULL")
     return build_dimension(rows, model.ORDER_DIM_COLUMNS, "order_id", as_of, hash_columns=["order_id"])
 
 
+def order_rejects(orders: DataFrame) -> DataFrame:
+    """The rows that ``dim_orders`` leaves out: their id is NULL or no number."""
+    return orders.where(F.expr("try_cast(order_id AS bigint)").isNull())
+
+
 def fact_with_key(fact: DataFrame, dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
     """Bring the surrogate key onto the fact; rows without a match drop out.
 

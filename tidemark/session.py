@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(jvm_path)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one; whether this call made it."""
+    jvm_path, system = _file_system(spark, path)
+    try:
+        out = system.create(jvm_path, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
 def partition_directories(spark: SparkSession, path: str, depth: int) -> list[str]:
     """The ``column=value`` directories ``depth`` levels below ``path``, relative to it."""
     pattern, system = _file_system(spark, "/".join([path, *["*=*"] * depth]))

@@ -21,8 +21,10 @@ def _unwrapped(text: str) -> Column:
 
 
 def _items(value: Column) -> Column:
-    is_list = F.schema_of_variant(value).startswith("ARRAY")
-    return F.when(is_list, value.cast("array<variant>")).when(value.isNotNull(), F.array(value))
+    items = F.try_variant_get(value, "$", "array<variant>")
+    none = F.array().cast("array<variant>")
+    # A JSON null holds no record; an object or scalar is one.
+    return F.when(F.is_variant_null(value), none).when(value.isNotNull(), F.coalesce(items, F.array(value)))
 
 
 def payload_items(payloads: DataFrame, text: str) -> DataFrame:
@@ -70,12 +72,15 @@ def paged_records(
 ) -> DataFrame:
     """Records of consecutive pages up to the first empty or absent one, at most ``limit``.
 
-    ``pages`` has one row per page, with its records as an array. A page that
+    ``pages`` has a row for each landing of a page, with its records as an array. A page that
     counts lies within the first ``limit`` pages, since each one before it holds a
     record: no endpoint keeps more than ``limit`` pages, however many were landed.
     """
     number = F.col(page) - F.lit(first_page) + 1
     filled = pages.where((number >= 1) & (number <= limit) & (F.size(records) > 0))
+    # A page landed again counts once: its fullest landing, then the smallest records.
+    landed = Window.partitionBy(*endpoint, page).orderBy(F.size(records).desc(), F.to_json(records))
+    filled = filled.withColumn("_landed", F.row_number().over(landed)).where("_landed = 1").drop("_landed")
     in_order = Window.partitionBy(*endpoint).orderBy(page)
     before = F.coalesce(
         F.sum(F.size(records)).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)

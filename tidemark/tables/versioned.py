@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import merge_into
-from tidemark.session import partition_directories, path_exists
+from tidemark.session import create_file, partition_directories, path_exists
 
 _VERSION = "commit_version"
 _DIRECTORY = rf"/data/({_VERSION}=.+)/[^/]+$"
@@ -27,6 +28,10 @@ class _Commit:
     schema: T.StructType
 
 
+class ConcurrentCommit(ValueError):
+    """Another writer committed the version that was to be written."""
+
+
 class VersionedTable:
     """Data directories that are never changed, and one commit row per version.
 
@@ -88,16 +93,18 @@ class VersionedTable:
 
     def _commit(self, operation: str, dirs: Sequence[str], schema: T.StructType, rows: int = 0) -> None:
         version = self._head.version + 1 if self._head else 0
-        row = self.spark.range(0, 1, 1, 1).select(
-            F.lit(version).alias("version"),
-            F.lit(str(self._clock())).alias("ts"),
-            F.lit(operation).alias("operation"),
-            F.lit(rows).cast("bigint").alias("rows"),
-            F.array(*[F.lit(d) for d in dirs]).cast("array<string>").alias("dirs"),
-            F.lit(schema.json()).alias("schema"),
-        )
-        # Fails if another writer already took this version.
-        row.write.mode("error").json(f"{self.root}/commits/v{version:09d}")
+        row = {
+            "version": version,
+            "ts": str(self._clock()),
+            "operation": operation,
+            "rows": rows,
+            "dirs": list(dirs),
+            "schema": schema.json(),
+        }
+        path = f"{self.root}/commits/v{version:09d}.json"
+        # The file is created only if no other writer has taken this version.
+        if not create_file(self.spark, path, json.dumps(row) + "\n"):
+            raise ConcurrentCommit(f"version {version} of {self.root} was written elsewhere; refresh and repeat")
         self._head = _Commit(version, tuple(dirs), schema)
 
     # -- data directories --------------------------------------------------------
@@ -125,9 +132,10 @@ class VersionedTable:
         if _VERSION in {c.lower() for c in df.columns}:
             raise ValueError(f"{_VERSION} is reserved")
         version = self._head.version + 1 if self._head else 0
-        name = f"{_VERSION}={version}"
+        # A directory of its own for each write: a writer whose commit fails touches no other's files.
+        name = f"{_VERSION}={version}-{uuid.uuid4().hex}"
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/data/{name}")
