@@ -43,7 +43,7 @@ class Plan:
     repeats: int = 2
     block_words: int = 128
     shard_slots: int = 1 << 18
-    bucket_rows: int = 20_000
+    bucket_rows: int = 4_000
     rounds: int = 12
     seed: int = 20_240_601
 
@@ -192,9 +192,11 @@ class Mix:
     def slots(self, step: int = 4096) -> DataFrame:
         """Every slot: shard, place in its shard, rank, epoch and block."""
         counts = self.spark.createDataFrame(self.counts, "shard long, rank int, first long, n long")
+        # A stated number of tasks: by their size in bytes the few rows would go to one.
+        tasks = math.ceil(sum(n for *_, n in self.counts) / (16 * step)) or 1
         parts = counts.select(
             "shard", "rank", "first", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {step}"))).alias("part")
-        ).repartition("shard", "rank", "part")
+        ).repartition(tasks, "shard", "rank", "part")
         slots = parts.select(
             "shard",
             "rank",
