@@ -30,6 +30,7 @@ import heapq
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ UNIGRAM, BPE = 1, 2
 # Longer segments are not relaxed side by side.
 LONG = 48
 # Most signs put into one index, unless one segment is longer; most segments remembered by a task.
-INDEX_CHARS, REMEMBERED = 1 << 19, 1 << 18
+INDEX_CHARS, REMEMBERED = 1 << 19, 1 << 19
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -89,6 +90,8 @@ class Model:
     def __post_init__(self) -> None:
         own = [i for i, k in enumerate(self.kinds) if k in (NORMAL, USER, UNUSED)]
         self.byte_ids = {int(self.pieces[i][1:-1], 16): i for i, k in enumerate(self.kinds) if k == BYTE}
+        # What a piece stands for by itself; bytes and other kinds need their neighbours or a rule.
+        self.plain = [p if k in (NORMAL, USER, UNUSED) else None for p, k in zip(self.pieces, self.kinds, strict=True)]
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         self.width = max((len(self.pieces[i]) for i in own), default=1)
         self.own = np.array(own, dtype=np.int64)
@@ -320,9 +323,13 @@ class Model:
                 to += 1
             known.update(zip(fresh[at:to], self.encode_segments(fresh[at:to]), strict=True))
             at = to
-        return [None if c is None else [x for s in c for x in known[s]] for c in cut]
+        return [None if c is None else list(chain.from_iterable(map(known.__getitem__, c))) for c in cut]
 
     def decode(self, ids: Sequence[int]) -> str:
+        plain = list(map(self.plain.__getitem__, ids))
+        if None not in plain:
+            text = "".join(plain).replace(MARK, " ")
+            return text[1:] if self.dummy_prefix and text.startswith(" ") else text
         out: list[str] = []
         raw = bytearray()
         for i in ids:
