@@ -90,8 +90,11 @@ class Model:
     def __post_init__(self) -> None:
         own = [i for i, k in enumerate(self.kinds) if k in (NORMAL, USER, UNUSED)]
         self.byte_ids = {int(self.pieces[i][1:-1], 16): i for i, k in enumerate(self.kinds) if k == BYTE}
-        # What a piece stands for by itself; bytes and other kinds need their neighbours or a rule.
+        # What a piece stands for by itself; other bytes and kinds need their neighbours or a rule.
         self.plain = [p if k in (NORMAL, USER, UNUSED) else None for p, k in zip(self.pieces, self.kinds, strict=True)]
+        for byte, i in self.byte_ids.items():
+            if byte < 128:
+                self.plain[i] = chr(byte)
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         self.width = max((len(self.pieces[i]) for i in own), default=1)
         self.own = np.array(own, dtype=np.int64)
