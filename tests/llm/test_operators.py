@@ -234,6 +234,9 @@ def test_language_of_odd_rows(spark):
     assert all(got[i].lang_pred == lang for i, _, lang in rows if i is not None and i < 90)
     assert got[500].lang_pred == got[501].lang_pred == "und" and got[502].lang_pred == "de"
     assert all(0 <= r.score <= 1 for r in got.values())
+    doubled = df.where("doc_id < 60")
+    again = language.fitted(doubled.unionByName(doubled), "text", "lang", F.xxhash64("doc_id"))
+    assert {r.doc_id: r for r in language.predicted(df, again).collect()} == got
     none = language.fitted(df.limit(0), "text", "lang", F.xxhash64("doc_id"))
     assert {r.lang_pred for r in language.predicted(df, none).collect()} == {"und"}
 

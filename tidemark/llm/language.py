@@ -13,6 +13,7 @@ Rules for odd rows
     * A null text, or one without a letter, is ``und`` with score 0.
     * Rows with a null language or id are not learned from. Without a row to learn from
       every text is ``und``; with one language known, every text with a letter is that.
+    * Rows of one language and key are learned from once, by the smallest of their texts.
     * Votes that tie go to the sum of margins, then to the smaller name.
     * Repeated rows are predicted each; extra columns are handed through, and a column
       with the name of a made one is replaced.
@@ -137,12 +138,20 @@ class Identifier:
 
 def fitted(rows: DataFrame, text: str, lang: str, key: Column, per_language: int = 500) -> Identifier:
     """An identifier learned from at most ``per_language`` rows of each language, smallest ``key`` first."""
-    order = Window.partitionBy("lang").orderBy("key", "text")
-    picked = (
-        rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), key.alias("key"))
-        .where("lang IS NOT NULL AND text IS NOT NULL AND key IS NOT NULL")
+    known = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), key.alias("key")).where(
+        "lang IS NOT NULL AND text IS NOT NULL AND key IS NOT NULL"
+    )
+    # Keys are ranked without their texts; at most per_language of them a language meet the texts.
+    order = Window.partitionBy("lang").orderBy("key")
+    keys = (
+        known.select("lang", "key")
+        .distinct()
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= per_language)
+        .drop("place")
+    )
+    picked = known.join(F.broadcast(keys), ["lang", "key"], "left_semi").groupBy("lang", "key").agg(
+        F.min("text").alias("text")
     )
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
