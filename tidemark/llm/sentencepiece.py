@@ -45,7 +45,7 @@ UNIGRAM, BPE = 1, 2
 # Longer segments are not relaxed side by side.
 LONG = 48
 # Most signs put into one index, unless one segment is longer; most segments remembered by a task.
-INDEX_CHARS, REMEMBERED = 1 << 19, 1 << 19
+INDEX_CHARS, REMEMBERED = 1 << 17, 1 << 19
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -95,6 +95,7 @@ class Model:
         for byte, i in self.byte_ids.items():
             if byte < 128:
                 self.plain[i] = chr(byte)
+        self.numbers = list(range(len(self.pieces)))
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         self.width = max((len(self.pieces[i]) for i in own), default=1)
         self.own = np.array(own, dtype=np.int64)
@@ -147,6 +148,7 @@ class Model:
         heads = heads.view(f"<U{width}").ravel()
         suffixes = np.argsort(heads, kind="stable")
         ordered = heads[suffixes]
+        del heads, signs
         first = np.searchsorted(ordered, self.low, side="left")
         last = np.searchsorted(ordered, self.high, side="right")
         counts = last - first
@@ -310,7 +312,7 @@ class Model:
             i = right[i]
         return out
 
-    def encode(self, texts: Sequence[str | None], known: dict[str, list[int]] | None = None) -> list[list[int] | None]:
+    def encode(self, texts: Sequence[str | None], known: dict[str, tuple[int, ...]] | None = None) -> list[list[int] | None]:
         """The ids of each text; ``known`` keeps the segments of earlier batches."""
         known = {} if known is None else known
         cut = [None if t is None else self.segments(t) for t in texts]
@@ -324,7 +326,9 @@ class Model:
             while to < len(fresh) and (to == at or size + len(fresh[to]) < INDEX_CHARS):
                 size += len(fresh[to]) + 1
                 to += 1
-            known.update(zip(fresh[at:to], self.encode_segments(fresh[at:to]), strict=True))
+            # Equal ids are one object, and tuples carry no spare room.
+            found = (tuple(map(self.numbers.__getitem__, ids)) for ids in self.encode_segments(fresh[at:to]))
+            known.update(zip(fresh[at:to], found, strict=True))
             at = to
         return [None if c is None else list(chain.from_iterable(map(known.__getitem__, c))) for c in cut]
 
