@@ -193,6 +193,16 @@ def test_mixed_documents_hold_what_is_taken(spark, docs):
     assert uses <= 2
 
 
+def test_mixed_copies_and_nulls_keep_their_texts(spark):
+    rows = [(1, "a b c", "x")] * 3 + [(2, "a b c", "x"), (3, None, "x"), (3, "", "x"), (4, "d e", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.Mix(docs)
+    assert Counter((r.doc_id, r.text, r.source) for r in mix.takings().collect()) == Counter(rows)
+    mixed = mix.documents().collect()
+    assert {(r.doc_id, r.text, r.source) for r in mixed} <= set(rows)
+    assert mixing.Mix(docs, carry=["text"]).takings().count() == len(rows)
+
+
 # Chat
 
 

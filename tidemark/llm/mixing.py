@@ -125,14 +125,19 @@ class Mix:
     ):
         self.plan = plan
         self.spark: SparkSession = docs.sparkSession
+        self.text = text
         self.names = docs.columns if carry is None else list(carry)
-        sized = docs.select(
-            carried(docs, carry),
+        rows = docs.select(
+            carried(docs, [n for n in self.names if n != text] or [source]),
             docs[source].cast("string").alias("source"),
-            F.size(words_of(text_of(docs[text]))).cast("long").alias("size"),
-            F.md5(text_of(docs[text])).alias("digest"),
+            F.md5(docs[text].cast("string")).alias("digest"),
+            docs[text].alias("text"),
         )
-        sized = stored(sized.withColumn("place", F.xxhash64(F.lit(plan.seed), "digest", "row")), "mix-sizes")
+        rows = rows.withColumn("place", F.xxhash64(F.lit(plan.seed), "digest", "row"))
+        # Texts stay out of what is written and placed; they are joined to the result once.
+        self.texts = rows.groupBy("place", "digest").agg(F.first("text").alias("text"))
+        sized = rows.select("row", "source", F.size(words_of(text_of("text"))).cast("long").alias("size"), "digest", "place")
+        sized = stored(sized, "mix-sizes")
         self.sources = self._sources(sized)
         self.docs = self._placed(sized)
 
@@ -170,10 +175,10 @@ class Mix:
         rows = rows.alias("r").join(
             totals.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")) & (F.col("r.bucket") == F.col("t.bucket"))
         )
-        rows = rows.select("row", F.col("r.source").alias("source"), "size", "digest", (F.col("base") + F.col("inner")).alias("start"))
+        rows = rows.select("row", F.col("r.source").alias("source"), "size", "digest", "place", (F.col("base") + F.col("inner")).alias("start"))
         placed = rows.alias("r").join(self.sources.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
         return stored(
-            placed.select("row", "size", "start", "rank", "source_size", "target"), "mix-docs"
+            placed.select("row", "size", "digest", "place", "start", "rank", "source_size", "target"), "mix-docs"
         )
 
     def pieces(self) -> DataFrame:
@@ -228,18 +233,29 @@ class Mix:
         joined = self.docs.alias("d").join(
             taken.alias("t"), (F.col("d.rank") == F.col("t.rank")) & (F.col("d.start") == F.col("t.start")) & has_words, "left"
         )
+        joined = joined.select("d.row", "d.digest", "d.place", "d.size", "source_size", "target", "taken")
+        made = {}
+        if self.text in self.names:
+            joined = self._with_texts(joined)
+            made[self.text] = F.col("text")
         return handed_back(
             joined,
             self.names,
             {
-                "size": F.col("d.size"),
+                **made,
+                "size": F.col("size"),
                 "source_size": F.col("source_size"),
                 "target": F.col("target"),
                 "taken": F.coalesce(F.col("taken"), F.lit(0)).cast("long"),
             },
         )
 
-    def documents(self, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
+    def _with_texts(self, rows: DataFrame) -> DataFrame:
+        """Adds ``text``; a row's place is a hash of all its columns, so that copies of a text spread."""
+        same = (F.col("m.place") == F.col("t.place")) & F.col("m.digest").eqNullSafe(F.col("t.digest"))
+        return rows.alias("m").join(self.texts.alias("t"), same).select("m.*", "t.text")
+
+    def documents(self, n_chars: str | None = "n_chars") -> DataFrame:
         """The mix as documents: a row per document and epoch it is used in.
 
         Its text is the words of the blocks taken in that epoch, in the document's order,
@@ -253,14 +269,13 @@ class Mix:
         joined = self.docs.alias("d").where("size > 0").join(
             parts.alias("p"), (F.col("d.rank") == F.col("p.rank")) & (F.col("d.start") == F.col("p.start"))
         )
-        joined = joined.select("row", "size", "words", "parts", words_of(text_of(F.col("row").getField(text))).alias("tokens"))
+        joined = self._with_texts(joined.select("row", "digest", "place", "size", "words", "parts"))
+        joined = joined.withColumn("tokens", words_of(text_of("text")))
         cut = F.array_join(
             F.transform("parts", lambda p: F.array_join(F.slice("tokens", (p["from_word"] + 1).cast("int"), p["n"].cast("int")), " ")), " "
         )
-        joined = joined.withColumn(
-            "cut", F.when(F.col("words") == F.col("size"), F.col("row").getField(text)).otherwise(cut)
-        )
-        made: dict[str, Column] = {text: F.col("cut")}
+        joined = joined.withColumn("cut", F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(cut))
+        made: dict[str, Column] = {self.text: F.col("cut")}
         if n_chars in self.names:
             made[n_chars] = F.length("cut").cast("long")
         return joined.select(
