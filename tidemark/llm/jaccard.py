@@ -230,8 +230,12 @@ def sized(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, size) for t in batch.column(2).to_pylist()]
-            sizes, names = [len(s) for s in sets], [set_id(s) for s in sets]
+            sizes, names = [], []
+            for at in range(0, batch.num_rows, 256):
+                for t in batch.column(2)[at : at + 256].to_pylist():
+                    hashes = shingle_set(t, size)
+                    sizes.append(len(hashes))
+                    names.append(set_id(hashes))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())],
                 names=["doc_id", "key", "n", "sid"],
