@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.compare import differences, duck
@@ -38,3 +39,11 @@ def test_pipeline_by_stages(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert {"doc_id", "lang", "source", "n_chars", "ids", "exact"} == set(out.columns)
     assert out.where("NOT exact").count() == 0 and out.count() > 0
+
+
+def test_pipeline_cuts_short_later_lines(spark):
+    long = "every word of this line is counted by both rules"
+    rows = [(1, f"one two\n{long}\n\nOK"), (2, f"first\n{long}\nok\n\nlast"), (3, "重复的段落"), (4, "重复的段落\nnew"), (5, " ONE  two ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.lit(0).cast("long"))
+    got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["substring dedup"](spark, docs, "").collect()}
+    assert got == {1: rows[0][1], 2: "first\n\nlast", 3: rows[2][1], 4: "new"}

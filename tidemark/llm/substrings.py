@@ -14,7 +14,8 @@ Rules for odd rows
     * Null ids rank after all others.
     * Rows with the same id and text are one document given twice: both keep the same.
       Rows with the same id and different texts are ranked by the text's digest.
-    * Units with fewer than ``min_words`` words are never cut: they repeat by chance.
+    * Units with fewer than ``min_words`` blank-separated words are never cut, however often
+      they repeat; text without blanks is one word. With 1 every unit that has a word counts.
     * Empty tables give empty results; extra columns are handed through, and a column
       with the name of a made one is replaced.
 """
