@@ -315,6 +315,28 @@ def test_main_text(spark):
     assert got[7] == got[8] == ("", 0) and got[9][0] == "only this"
 
 
+def extracted_pages(spark, htmls):
+    rows = spark.createDataFrame([(i, "https://h.org/", h) for i, h in enumerate(htmls)], "page_id int, url string, html string")
+    return [r.text for r in pages.main_text(rows).orderBy("page_id").collect()]
+
+
+NESTED = "<h1>The headline</h1><div class=lead>{lead}</div><div class=body><p>{body}</p></div>"
+
+
+@pytest.mark.parametrize("before,after", [("<article>", "</article>"), ("<main><div>", "</div></main>"), ("<div class=story>", "</div>")])
+def test_headline_and_lead_stay(spark, before, after):
+    links = "<ul><li><a href=/a>One other page</a></li><li><a href=/b>Another one</a></li></ul>"
+    inner = [NESTED.format(lead=prose(20, ("lead", i)[1]), body=prose(300, i)) for i in range(3)]
+    got = extracted_pages(spark, [f"<body>{links}{before}{x}{after}</body>" for x in inner])
+    assert got == ["\n".join(("The headline", prose(20, i), prose(300, i))) for i in range(3)]
+
+
+def test_a_teaser_does_not_stand_for_the_article(spark):
+    usual = [f"<body><div class=a><p>{prose(200, i)}</p></div></body>" for i in range(4)]
+    rare = f"<body><div class=a><p>A teaser</p></div><ul><li><a href=/>{prose(90, 'x')}</a></ul><section class=b><p>{prose(200, 'rare')}</p></section></body>"
+    assert prose(200, "rare") in extracted_pages(spark, [*usual, rare])[4]
+
+
 def test_given_pages_by_their_template(spark, sf_dir):
     from html import unescape
 

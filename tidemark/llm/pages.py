@@ -1,11 +1,14 @@
 """Main text of web pages by paths that the pages of a host agree on.
 
 A page's containers are scored by the text right inside them, less what is link text, with
-half of it for the container around. The generalised path (tags and classes from the body
-down, digits made #) of the best container is the page's vote; Spark counts the votes of
-each host. Each page is then read again with its host's winning paths, those with a fifth
-of the votes or more, in order of votes: the first one that holds text on the page is
-taken. A page that has none of them uses its own best container.
+half of it for the container around. From the best container the page climbs to the
+outermost article or main around it, or else as long as what a container adds is not link
+text, so that a headline or a lead beside the body is not lost. The generalised path (tags
+and classes from the body down, digits made #) of where it ends is the page's vote; Spark
+counts the votes of each host. Each page is then read again with its host's winning paths,
+those with a fifth of the votes or more, in order of votes: the first one that holds most
+of the text of the page's best container is taken. A page that has none of them uses its
+own container.
 
 Navigation, headers, footers, sidebars, forms, adverts, notices and comments are left out
 by tag, role or class, inside the chosen container too; a header within an article is
@@ -132,6 +135,10 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
     return out
 
 
+def _under(found: list[tuple[str, str, int]], path: str) -> list[tuple[str, str, int]]:
+    return [x for x in found if not path or x[0] == path or x[0].startswith(path + ">")]
+
+
 def best_path(found: list[tuple[str, str, int]]) -> str | None:
     """The path of the container with most text of its own."""
     scores: dict[str, float] = defaultdict(float)
@@ -143,14 +150,42 @@ def best_path(found: list[tuple[str, str, int]]) -> str | None:
     return min(good, key=lambda x: (-x[0], x[1]))[1] if good else None
 
 
+def climbed(found: list[tuple[str, str, int]], path: str) -> str:
+    """The path, or that of the container around it that is the whole article."""
+    steps = path.split(">")
+    whole = [k for k, step in enumerate(steps) if step.split(".")[0] in ("article", "main")]
+    if whole:
+        return ">".join(steps[: whole[0] + 1])
+    taken, own = path, len(_under(found, path))
+    for k in range(len(steps) - 1, -1, -1):
+        around = ">".join(steps[:k])
+        if (n := len(_under(found, around))) == own:
+            continue
+        more = [x for x in _under(found, around) if not (x[0] == taken or x[0].startswith(taken + ">"))]
+        if 2 * sum(linked for *_, linked in more) > sum(len(text) for _, text, _ in more):
+            break
+        taken, own = around, n
+    return taken
+
+
+def voted(html: str) -> str | None:
+    found = blocks(html)
+    best = best_path(found)
+    return climbed(found, best) if best else None
+
+
 def extracted(html: str, winners: Sequence[str]) -> str:
     found = blocks(html)
-    own = best_path(found)
-    for path in [*winners, *([own] if own else [""])]:
-        text = "\n".join(t for p, t, _ in found if not path or p == path or p.startswith(path + ">"))
-        if text:
-            return text
-    return "\n".join(t for _, t, _ in found)
+    best = best_path(found)
+    if best is None:
+        return "\n".join(t for _, t, _ in found)
+    whole = sum(len(t) for _, t, _ in _under(found, best))
+    for path in [*winners, climbed(found, best)]:
+        taken = _under(found, path)
+        # Of a path that lies inside the best container or around it, what both hold counts.
+        if 2 * sum(len(t) for _, t, _ in _under(taken, best)) > whole:
+            break
+    return "\n".join(t for _, t, _ in taken)
 
 
 def main_text(
@@ -161,7 +196,7 @@ def main_text(
 
     @F.pandas_udf("string")
     def vote(texts: pd.Series) -> pd.Series:
-        return pd.Series([best_path(blocks(t)) for t in texts], dtype=object)
+        return pd.Series([voted(t) for t in texts], dtype=object)
 
     @F.pandas_udf("string")
     def extract(texts: pd.Series, winners: pd.Series) -> pd.Series:
