@@ -337,6 +337,19 @@ def test_a_teaser_does_not_stand_for_the_article(spark):
     assert prose(200, "rare") in extracted_pages(spark, [*usual, rare])[4]
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ["class='content has-sidebar'", "class=no-comments", "class=side-by-side", "id=page-with-menu", "class='page menu'", "class=hasSidebar"],
+)
+def test_wrappers_are_not_left_out(spark, wrapper):
+    side = f"<div class=main-nav><p>Home</p></div><div class='comment-list'><p>{prose(400, 'talk')}</p></div>"
+    for tag in ("article", "div"):
+        page = f"<body><div {wrapper}><{tag}><h1>Head</h1><p>{prose(100, 1)}</p></{tag}></div>{side}</body>"
+        if "page menu" in wrapper and tag == "div":
+            page = page.replace(side, "")
+        assert extracted_pages(spark, [page]) == [f"Head\n{prose(100, 1)}"]
+
+
 def test_given_pages_by_their_template(spark, sf_dir):
     from html import unescape
 

@@ -12,8 +12,11 @@ own container.
 
 Navigation, headers, footers, sidebars, forms, adverts, notices and comments are left out
 by tag, role or class, inside the chosen container too; a header within an article is
-part of it. Character references are decoded, white space in a block becomes one blank,
-blocks are joined by new lines in page order. Nothing else is dropped.
+part of it. A class or id counts by its last part, and not if it speaks of another container
+(has-, no-, with-). A container that holds most of the page's paragraph text stays, and so
+does one around the longest article or main where all of them would go; comments stay only
+where there is nothing else. Character references are decoded, white space in a block
+becomes one blank, blocks are joined by new lines in page order. Nothing else is dropped.
 
 Rules for odd rows
     * A null html is an empty page, with empty text; so is a page with no text outside of
@@ -29,6 +32,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Sequence
+from dataclasses import dataclass
 from html import unescape
 
 import pandas as pd
@@ -62,35 +66,73 @@ LEFT_OUT_NAMES = frozenset(
     " recommended comment comments commentlist disqus reply replies breadcrumb breadcrumbs newsletter subscribe"
     " signup login search pagination pager widget toolbar skip".split()
 )
+# Names of comments; tags that an article in them does not bring back; parts by which a name
+# speaks of another container, and parts that do not say what a box holds.
+TALK = frozenset("comment comments commentlist disqus reply replies".split())
+ASIDE_TAGS = frozenset("nav footer aside menu dialog".split())
+LINKING = frozenset("has no not with without by".split())
+BOX_NAMES = frozenset(
+    "area bar block box boxes button buttons column container content count form group inner item items left link links list"
+    " main outer panel primary right row secondary section site text top bottom unit wrap wrapper".split()
+)
 
 
 def attributes(text: str) -> dict[str, str]:
     return {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)}
 
 
+def _named(names: str) -> bool:
+    """Whether a class or id says what is left out: by its last part, or with parts that only tell a kind of box."""
+    for name in names.split():
+        parts = [p.lower() for p in PARTS.split(name) if p]
+        if not parts or LINKING & set(parts):
+            continue
+        said = [p in LEFT_OUT_NAMES for p in parts]
+        if name.lower() in LEFT_OUT_NAMES or said[-1] or any(said) and all(x or p in BOX_NAMES for x, p in zip(said, parts, strict=True)):
+            return True
+    return False
+
+
+def _hidden(attrs: dict[str, str]) -> bool:
+    if "hidden" in attrs or attrs.get("aria-hidden") == "true":
+        return True
+    return "display:none" in attrs.get("style", "").replace(" ", "").lower()
+
+
 def _left_out(tag: str, attrs: dict[str, str], inside: Sequence[str]) -> bool:
     if tag in LEFT_OUT_TAGS or tag == "header" and not {"article", "main"} & set(inside):
         return True
-    if attrs.get("role", "").lower() in LEFT_OUT_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+    if attrs.get("role", "").lower() in LEFT_OUT_ROLES:
         return True
-    if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
-    names = PARTS.split(attrs.get("class", "")) + PARTS.split(attrs.get("id", ""))
-    return tag not in ("body", "article", "main") and any(n.lower() in LEFT_OUT_NAMES for n in names)
-
-
-def blocks(html: str) -> list[tuple[str, str, int]]:
-    """(container's path, text, signs of link text) of each block that is not left out."""
-    out: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, str, bool]] = [("", "", False)]  # tag, path, left out
+    return tag not in ("body", "article", "main") and (_named(attrs.get("class", "")) or _named(attrs.get("id", "")))
+
+
+@dataclass
+class _Node:
+    tag: str
+    path: str
+    parent: int
+    named: bool = False
+    hidden: bool = False
+    paragraphs: int = 0  # signs in paragraphs of it and below
+    signs: int = 0  # signs that are no link text, of it and below
+    holds: bool = False  # the page's article, where all of them would be left out
+    talk: bool = False
+
+
+def _parsed(html: str) -> tuple[list[_Node], list[tuple[int, str, int, bool]]]:
+    """All containers, parents first, and (container, text, signs of link text, in a paragraph) of each block."""
+    nodes = [_Node("", "", -1)]
+    out: list[tuple[int, str, int, bool]] = []
+    stack = [0]
     parts: list[str] = []
-    linked, in_link, at = 0, False, 0
+    linked, in_link, in_paragraph, at = 0, False, False, 0
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
-        if text and not stack[-1][2]:
-            out.append((stack[-1][1], text, min(linked, len(text))))
+        if text:
+            out.append((stack[-1], text, min(linked, len(text)), in_paragraph))
         parts.clear()
         linked = 0
 
@@ -115,7 +157,7 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
             parts.append(" ")
         elif tag in BREAKS:
             close()
-            in_link = False
+            in_link, in_paragraph = False, tag == "p" and not closing
             if tag not in CONTAINERS and tag != "head":
                 continue
             if not closing:
@@ -125,14 +167,54 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
                 name = DIGITS.sub("#", ".".join([tag, *sorted(attrs.get("class", "").split())]))
                 if tag == "body":
                     stack = stack[:1]  # an open head ends here
-                gone = stack[-1][2] or _left_out(tag, attrs, [s[0] for s in stack])
-                stack.append((tag, f"{stack[-1][1]}>{name}" if stack[-1][1] else name, gone))
-            elif any(s[0] == tag for s in stack):
-                while stack.pop()[0] != tag:
+                above = nodes[stack[-1]].path
+                named = _left_out(tag, attrs, [nodes[k].tag for k in stack])
+                talk = bool(TALK & set(PARTS.split(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())))
+                nodes.append(_Node(tag, f"{above}>{name}" if above else name, stack[-1], named, _hidden(attrs), talk=talk))
+                stack.append(len(nodes) - 1)
+            elif any(nodes[k].tag == tag for k in stack):
+                while nodes[stack.pop()].tag != tag:
                     pass
     add(html[at:])
     close()
-    return out
+    return nodes, out
+
+
+def blocks(html: str) -> list[tuple[str, str, int]]:
+    """(container's path, text, signs of link text) of each block that is not left out."""
+    nodes, out = _parsed(html)
+    out_by_name = [False]
+    for node in nodes[1:]:
+        node.hidden |= nodes[node.parent].hidden
+        out_by_name.append(out_by_name[node.parent] or node.named or node.hidden)
+    for k, text, linked, in_paragraph in out:
+        if not nodes[k].hidden and nodes[k].tag != "head":
+            nodes[k].signs += len(text) - linked
+            nodes[k].paragraphs += (len(text) - linked) * in_paragraph
+    for node in reversed(nodes[1:]):
+        nodes[node.parent].signs += node.signs
+        nodes[node.parent].paragraphs += node.paragraphs
+    whole = [k for k, n in enumerate(nodes) if n.tag in ("article", "main") and n.signs and not n.hidden]
+    if whole and all(out_by_name[k] for k in whole):
+        nodes[max(whole, key=lambda k: nodes[k].signs)].holds = True
+    for node in reversed(nodes[1:]):
+        nodes[node.parent].holds |= node.holds
+    # Where a page has no paragraphs, all its text counts.
+    field = "paragraphs" if nodes[0].paragraphs else "signs"
+    standing = any(not out_by_name[k] for k, *_ in out) or any(n.holds for n in nodes) and not any(n.holds and n.talk for n in nodes)
+
+    def kept(node: _Node) -> bool:
+        if node.tag == "head":
+            return False
+        if node.holds and node.tag not in ASIDE_TAGS:
+            return True
+        # A thread of comments may be longer than what it is about.
+        return not (node.talk and standing) and 2 * getattr(node, field) > getattr(nodes[0], field)
+
+    gone = [False]
+    for node in nodes[1:]:
+        gone.append(gone[node.parent] or node.hidden or node.named and not kept(node))
+    return [(nodes[k].path, text, linked) for k, text, linked, _ in out if not gone[k]]
 
 
 def _under(found: list[tuple[str, str, int]], path: str) -> list[tuple[str, str, int]]:
