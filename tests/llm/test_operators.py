@@ -161,6 +161,18 @@ def test_jaccard_of_odd_rows(spark, docs):
     assert jaccard.joined(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("same_id", [None, 7])
+def test_texts_under_one_id_meet_only_their_own_sets(spark, same_id):
+    base = prose(80, "one id").split()
+    rows = [(same_id, " ".join([*base[:k], f"w{k}", *base[k + 1 :]])) for k in range(0, 60, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = jaccard.sized(df, "doc_id", "text", 4)
+    blocks = ids.select(F.col("sid").alias("node"), F.lit(0).cast("long").alias("label"))
+    assert jaccard.block_texts(df, ids, blocks, "doc_id", "text").count() == len(rows)
+    kept = jaccard.representatives(df, size=4, percent=80).collect()
+    assert len(kept) == 1 and kept[0].doc_id == same_id
+
+
 # Mixing
 
 

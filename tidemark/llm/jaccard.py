@@ -273,9 +273,11 @@ def candidate_edges(entries: DataFrame) -> DataFrame:
     return first.where("sid <> first").select(F.col("sid").alias("a"), F.col("first").alias("b")).distinct()
 
 
-def block_links(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
-    """(a, b): links between the sets of each block."""
-    reps = ids.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+def block_texts(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(label, i, j, sid, text): a text of each set in a block, for each task that the set takes part in."""
+    # One document of each set, by id and text: rows that share an id do not meet each other's sets.
+    one = ids.where("n > 0").groupBy("sid").agg(F.min(F.struct("doc_id", "key")).alias("one"))
+    reps = one.select("sid", "one.doc_id", "one.key")
     counts = blocks.groupBy("label").agg(F.expr(f"(count(*) + {SETS_PER_CHUNK - 1}) div {SETS_PER_CHUNK}").alias("chunks"))
     dealt = (
         blocks.join(counts, "label")
@@ -290,11 +292,19 @@ def block_links(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str,
         .select(F.col("node").alias("sid"), "label", "tasks")
     )
     wanted = dealt.join(reps, "sid")
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(docs[text]).alias("text"))
-    rows = (
-        texts.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")))
+    body = text_of(docs[text])
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(body).alias("text_key"), body.alias("text"))
+    return (
+        texts.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_key") == F.col("key")))
         .select("sid", "label", F.explode("tasks").alias("task"), "text")
         .select("label", "task.i", "task.j", "sid", "text")
+    )
+
+
+def block_links(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """(a, b): links between the sets of each block."""
+    rows = (
+        block_texts(docs, ids, blocks, doc_id, text)
         .repartition("label", "i", "j")
         .sortWithinPartitions("label", "i", "j", "sid")
     )
@@ -304,7 +314,7 @@ def block_links(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str,
             for batch in batches:
                 for label, i, j, sid, body in batch.itertuples(index=False):
                     hashes = shingle_set(body, size)
-                    # Another text under the same id is not the one looked for.
+                    # Another text with the same id and key is not the one looked for.
                     if set_id(hashes) == sid:
                         yield (label, i, j), sid, hashes
 
