@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.compare import differences, duck
-from tidemark.llm import jaccard, quality, substrings
+from tidemark.llm import jaccard, mixing, quality, substrings
 from tidemark.llm.queries import ORACLES, QUERIES
 
 
@@ -47,3 +47,56 @@ def test_pipeline_cuts_short_later_lines(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.lit(0).cast("long"))
     got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["substring dedup"](spark, docs, "").collect()}
     assert got == {1: rows[0][1], 2: "first\n\nlast", 3: rows[2][1], 4: "new"}
+
+
+def test_stages_against_plain_python(spark, sf_dir):
+    """Stages 2 to 5 on documents that passed the first, each against its input."""
+    stages = dict(corpus_pipeline.STAGES)
+    read = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    passed = spark.createDataFrame(stages["quality rules"](spark, read, sf_dir).collect(), read.schema)
+    docs = sorted(passed.collect(), key=lambda r: r.doc_id)
+    # 2: the smallest id of each group linked by shingles of five words.
+    words = [(r.text or "").lower().split() for r in docs]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in words]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    want = [docs[i] for i in range(len(docs)) if find(i) == i]
+    one = stages["n-gram Jaccard join"](spark, passed, sf_dir).collect()
+    assert sorted((r.doc_id, r.text) for r in one) == [(r.doc_id, r.text) for r in want]
+    # 3: no line that an earlier one holds.
+    seen, cut = set(), []
+    for r in want:
+        lines = []
+        for line in r.text.split("\n"):
+            form = " ".join(line.lower().split())
+            if not form or form not in seen:
+                lines.append(line)
+            seen.add(form)
+        if "".join(lines).strip(" "):
+            cut.append((r.doc_id, "\n".join(lines)))
+    deduped = stages["substring dedup"](spark, spark.createDataFrame(one, read.schema), sf_dir).collect()
+    assert sorted((r.doc_id, r.text) for r in deduped) == cut
+    # 4: the wanted words of each source, no document more than twice.
+    mix = stages["mixing sources"](spark, spark.createDataFrame(deduped, read.schema), sf_dir).collect()
+    given = Counter(r.doc_id for r in deduped)
+    assert all(n <= 2 * given[i] for i, n in Counter(r.doc_id for r in mix).items())
+    sources = sorted({r.source for r in deduped}, key=lambda s: (s is None, s or ""))
+    count = lambda rows, s: sum(len(r.text.split()) for r in rows if r.source == s)
+    plan = mixing.Plan()
+    for s, target in zip(sources, mixing.targets([count(deduped, s) for s in sources], plan), strict=True):
+        assert abs(count(mix, s) - target) <= 2 * plan.block_words
+    # 5: a row for each row.
+    out = stages["SentencePiece"](spark, spark.createDataFrame(mix, read.schema), sf_dir).collect()
+    assert Counter(r.doc_id for r in out) == Counter(r.doc_id for r in mix)
+    assert all(r.exact and len(r.ids) > 0 for r in out)
