@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     chat,
+    chosen_path,
+    collocations,
     jaccard,
     language,
     metric_tree,
@@ -232,3 +235,67 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_html_extraction")
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
+@query("op11_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chosen_path.near_duplicates(docs, size=3, percent=85)
+
+
+COLLOCATION_SQL = r"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+w AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p
+),
+g AS (
+    SELECT lang, unnest(list_transform(range(1, len(ws) + 1), lambda i: {'w': ws[i],
+        'two': CASE WHEN i < len(ws) THEN ws[i] || ' ' || ws[i + 1] END,
+        'three': CASE WHEN i + 1 < len(ws) THEN ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] END})) AS x
+    FROM w
+),
+f AS (
+    SELECT lang, phrase, count(*) AS a
+    FROM (SELECT lang, unnest([x.w, x.two, x.three]) AS phrase FROM g)
+    WHERE phrase IS NOT NULL GROUP BY ALL
+),
+n AS (SELECT lang, count(*) AS n FROM g GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE a >= 10 AND contains(phrase, ' ')),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r,
+        CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, len(ws))) AS k FROM c) c
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:len(c.ws)], ' ')
+),
+lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inside AS (
+    SELECT lang, phrase, max(longer) AS longer FROM (
+        SELECT lang, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase, a AS longer FROM c WHERE len(ws) = 3
+    ) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest JOIN n USING (lang) LEFT JOIN inside USING (lang, phrase)
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", COLLOCATION_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@query("op13_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.aligned(docs, alignment.Tokenizers.read(BYTE_BPE, PIECES), carry=["doc_id"])
