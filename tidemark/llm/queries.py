@@ -137,35 +137,37 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SUBSTRING_SQL = r"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(text, chr(10)) AS units FROM documents),
-u AS (
-    SELECT doc_id, i, units[i] AS unit, units,
-        list_filter(regexp_split_to_array(units[i], '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
-    FROM (SELECT doc_id, units, unnest(range(1, len(units) + 1)) AS i FROM d)
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, i, lines[i] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+p AS (
+    SELECT doc_id, i, CAST(coalesce(sum(length(line) + 1) OVER (
+            PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_start,
+        CASE WHEN line = '' THEN [''] ELSE list_filter(string_split(
+            regexp_replace(line, '([.!?。][\x20\x09\x0B-\x0D]+)', '\1' || chr(1114111), 'g'), chr(1114111)), lambda x: x <> '') END AS units
+    FROM l
 ),
-n AS (
-    SELECT doc_id, i, unit, len(words) >= 8 AS counts, lower(array_to_string(words, ' ')) AS form,
-        coalesce(sum(length(unit) + 1) OVER (
-            PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-    FROM u
+u AS (
+    SELECT doc_id, i, j, units[j] AS unit, line_start + length(array_to_string(units[1:j - 1], '')) AS start,
+        lower(array_to_string(list_filter(regexp_split_to_array(units[j], '[\x20\x09-\x0D]+'), lambda w: w <> ''), ' ')) AS form
+    FROM (SELECT *, unnest(range(1, len(units) + 1)) AS j FROM p)
 ),
 ranked AS (
-    SELECT *, counts AND row_number() OVER (PARTITION BY counts, form ORDER BY doc_id, i) > 1 AS gone FROM n
+    SELECT *, length(form) >= 50 AND row_number() OVER (PARTITION BY form ORDER BY doc_id, i, j) > 1 AS gone FROM u
 ),
 cut AS (
-    SELECT doc_id,
-        coalesce(string_agg(unit, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text,
-        coalesce(string_agg(start || '-' || (start + length(unit)), ',' ORDER BY i) FILTER (WHERE gone), '') AS removed_spans,
-        CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed
-    FROM ranked GROUP BY doc_id
+    SELECT doc_id, i, string_agg(unit, '' ORDER BY j) FILTER (WHERE NOT gone) AS line, count(*) FILTER (WHERE gone) AS n,
+        string_agg(start || '-' || (start + length(unit)), ',' ORDER BY j) FILTER (WHERE gone) AS spans
+    FROM ranked GROUP BY doc_id, i
 )
-SELECT doc_id, text, removed_spans, n_removed FROM cut
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i), '') AS text,
+    coalesce(string_agg(spans, ',' ORDER BY i), '') AS removed_spans, CAST(sum(n) AS BIGINT) AS n_removed
+FROM cut GROUP BY doc_id
 """
 
 
 @query("op2_substring_dedup", SUBSTRING_SQL)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text without lines seen before, with the offsets of what went."""
+    """Every document's text without sentences seen before, with the offsets of what went."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     span = lambda s: F.concat(s["start"], F.lit("-"), s["end"])
     return substrings.deduplicated(docs).select(

@@ -1,21 +1,25 @@
-"""Substring de-duplication by hashed lines or paragraphs.
+"""Substring de-duplication by hashed sentences, lines or paragraphs.
 
-Each text is cut into units at a separator. A unit's normalised form (lower case, single
-blanks) is digested; equal digests are grouped over all documents, the earliest ranked
-occurrence stays and every other one is cut out. Rank is the document's id, then the
-place in the text. The cuts are kept as offsets in code points of the original text.
+Each text is cut into units: lines (or paragraphs) at a separator, and those after each
+sentence mark that white space follows, which stays with its sentence. A unit's normalised
+form (lower case, single blanks) is digested; equal digests are grouped over all documents,
+the earliest ranked occurrence stays and every other one is cut out. Rank is the document's
+id, then the place in the text. The cuts are kept as offsets in code points of the original
+text; a line all of whose units go takes one separator with it.
 
-Only digests and places are shuffled for the grouping, one row for each unit. The
-earliest place of a digest is a minimum, summed up in each task before the shuffle; the
-join that marks the later ones is left to adaptive execution, which splits hot digests.
+Only digests and places are shuffled for the grouping, one row for each unit; they are worked
+out once and written. The earliest place of a digest is a minimum, summed up in each task
+before the shuffle; the join that marks the later ones is left to adaptive execution, which
+splits hot digests.
 
 Rules for odd rows
     * A null text comes back null, an empty one empty; neither has units.
     * Null ids rank after all others.
     * Rows with the same id and text are one document given twice: both keep the same.
       Rows with the same id and different texts are ranked by the text's digest.
-    * Units with fewer than ``min_words`` blank-separated words are never cut, however often
-      they repeat; text without blanks is one word. With 1 every unit that has a word counts.
+    * Units whose normalised form has fewer than ``min_chars`` code points are never cut,
+      however often they repeat; with 1 every unit that has a word counts. Text without
+      blanks counts by its signs, as any other.
     * Empty tables give empty results; extra columns are handed through, and a column
       with the name of a made one is replaced.
 """
@@ -31,12 +35,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import carried, handed_back, text_of
+from tidemark.session import stored
 
 BLANK = re.compile(r"[ \t-\r]+")
+# White space after a sentence mark, but for new lines.
+AFTER_SENTENCE = re.compile(r"(?<=[.!?。])[ \t\x0b-\r]+")
+# About as long as eight words: shorter sentences recur without being copied.
+MIN_CHARS = 50
 
 
-def units(text: str, separator: str) -> list[tuple[int, int]]:
-    """The (start, end) of each unit; the separators belong to none."""
+def lines(text: str, separator: str) -> list[tuple[int, int]]:
+    """The (start, end) of each line; the separators belong to none."""
     out, start = [], 0
     while (end := text.find(separator, start)) >= 0:
         out.append((start, end))
@@ -45,31 +54,44 @@ def units(text: str, separator: str) -> list[tuple[int, int]]:
     return out
 
 
-def digest(unit: str, min_words: int) -> bytes | None:
-    """MD5 of the normalised unit; None if it has too few words."""
-    words = BLANK.sub(" ", unit).strip(" ").lower().split(" ")
-    if len(words) < min_words or words == [""]:
+def units(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The (start, end) of each sentence of a line, which they make up without a gap."""
+    cuts = [m.end() for m in AFTER_SENTENCE.finditer(text, start, end) if m.start() > start]
+    return [(x, y) for x, y in zip([start, *cuts], [*cuts, end], strict=True) if x < y]
+
+
+def digest(unit: str, min_chars: int) -> bytes | None:
+    """MD5 of the normalised unit; None if it is too short."""
+    form = BLANK.sub(" ", unit).strip(" ").lower()
+    if len(form) < max(min_chars, 1):
         return None
-    return hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest()
+    return hashlib.md5(form.encode("utf-8", "surrogatepass")).digest()
 
 
 def without(text: str, spans: Sequence[tuple[int, int]], separator: str) -> str:
-    """The text without the spans and one separator beside each of them."""
+    """The text without the spans; a line that loses all its units goes with one separator."""
     gone = set(map(tuple, spans))
-    return separator.join(text[a:b] for a, b in units(text, separator) if (a, b) not in gone)
+    kept = []
+    for start, end in lines(text, separator):
+        parts = units(text, start, end)
+        left = [text[x:y] for x, y in parts if (x, y) not in gone]
+        if left or not parts:
+            kept.append("".join(left))
+    return separator.join(kept)
 
 
-def located(docs: DataFrame, doc_id: str, text: str, separator: str, min_words: int) -> DataFrame:
+def located(docs: DataFrame, doc_id: str, text: str, separator: str, min_chars: int) -> DataFrame:
     """A row for each unit that counts: hash, doc, key, start, end."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out: dict[str, list] = {"hash": [], "doc": [], "key": [], "start": [], "end": []}
             for doc, key, body in zip(batch["doc"].array, batch["key"], batch["body"], strict=True):
-                for a, b in units(body, separator):
-                    if (d := digest(body[a:b], min_words)) is not None:
-                        for name, value in zip(out, (d, doc, key, a, b), strict=True):
-                            out[name].append(value)
+                for line in lines(body, separator):
+                    for a, b in units(body, *line):
+                        if (d := digest(body[a:b], min_chars)) is not None:
+                            for name, value in zip(out, (d, doc, key, a, b), strict=True):
+                                out[name].append(value)
             frame = pd.DataFrame(out)
             frame["doc"] = pd.array(frame["doc"], dtype="Int64")
             yield frame
@@ -90,7 +112,7 @@ def deduplicated(
     doc_id: str = "doc_id",
     text: str = "text",
     separator: str = "\n",
-    min_words: int = 8,
+    min_chars: int = MIN_CHARS,
     carry: Sequence[str] | None = None,
 ) -> DataFrame:
     """The documents with ``text`` cut, and ``removed``: the (start, end) of each cut in the original.
@@ -98,7 +120,7 @@ def deduplicated(
     ``n_chars``-like columns are left as they are; see ``documents`` for the pipeline's form.
     """
     names = docs.columns if carry is None else list(carry)
-    found = located(docs, doc_id, text, separator, min_words)
+    found = stored(located(docs, doc_id, text, separator, min_chars), "units")
     place = F.struct("doc", "key", "start")
     first = found.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
     later = (
@@ -131,10 +153,10 @@ def deduplicated(
 
 
 def documents(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", min_words: int = 8
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", min_chars: int = MIN_CHARS
 ) -> DataFrame:
     """The documents that keep a word, in their own columns."""
-    out = deduplicated(docs, doc_id, text, min_words=min_words)
+    out = deduplicated(docs, doc_id, text, min_chars=min_chars)
     if n_chars in docs.columns:
         out = out.withColumn(n_chars, F.length(text).cast("long"))
-    return out.where(F.coalesce(F.length(F.btrim(text)) > 0, F.lit(False)) | (F.size("removed") == 0)).select(*docs.columns)
+    return out.where(F.regexp_like(text_of(text), F.lit(r"[^ \t-\r]"))).select(*docs.columns)
