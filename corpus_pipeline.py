@@ -25,8 +25,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier one holds, however short they are."""
-    return substrings.documents(docs, min_words=1)
+    """Documents without the longer sentences and lines that an earlier one holds."""
+    return substrings.documents(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
