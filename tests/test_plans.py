@@ -31,13 +31,12 @@ def test_latest_batch_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(batch_id" in plan(changes.latest_batch(staged))
 
 
-def test_small_batch_does_not_shuffle_the_dimension(spark):
+def test_open_rows_and_batch_are_read_once(spark):
     dim, staged = two_sides(spark)
-    parts = scd2_parts(dim, staged, ["k"], "2024-02-01", batch_rows=1000)
-    text = plan(parts.compared)
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    # The one exchange belongs to the batch, which is reduced to a row per key.
-    assert text.count("Exchange hashpartitioning") == 1
+    text = plan(scd2_parts(dim, staged, ["k"], "2024-02-01").open)
+    assert text.count("FileScan") == 2 and text.count("FullOuter") == 1
+    # One exchange of the open rows, one of the batch on its way to a row per key.
+    assert text.count("Exchange hashpartitioning") == 2
     assert "PartitionFilters: [isnotnull(Iscurrent" in text
 
 

@@ -55,11 +55,17 @@ def test_second_run_changes_nothing(known):
     assert Counter(once.collect()) == Counter(twice.collect())
 
 
-def test_small_and_large_batches_agree(known):
-    dim, batch = known
-    a = scd2.scd2_batch(dim, batch, ["customer_id"], T1, batch_rows=729)
-    b = scd2.scd2_batch(dim, batch, ["customer_id"], T1, batch_rows=10**9)
-    assert Counter(a.collect()) == Counter(b.collect())
+def test_several_open_rows_of_a_key(spark):
+    """Each is compared; the key gets one new version, and none if one of them is identical."""
+    schema = "k string, v string, start_column timestamp, end_date timestamp, Iscurrent int, hash string"
+    rows = [("a", "1", None, None, 1, "h1"), ("a", "2", None, None, 1, "h2"), ("b", "1", None, None, 1, "h1"), ("b", "3", None, None, 1, None), (None, "n", None, None, 1, "h")]
+    dim = spark.createDataFrame(rows, schema)
+    batch = spark.createDataFrame([("a", "2", "h2"), ("b", "9", "h9"), (None, "x", "hx"), ("c", "0", None)], "k string, v string, hash string")
+    out = scd2.scd2_batch(dim, batch, ["k"], T1)
+    got = Counter((r.k, r.v, r.Iscurrent) for r in out.collect())
+    assert got == Counter([("a", "1", 0), ("a", "2", 1), ("b", "1", 0), ("b", "3", 0), ("b", "9", 1), (None, "n", 1), ("c", "0", 1)])
+    again = scd2.scd2_batch(out, batch, ["k"], T2)
+    assert Counter((r.k, r.v, r.Iscurrent) for r in again.collect()) == got
 
 
 def test_one_open_row_per_key_and_touching_intervals(known):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import row_hash, with_scd2
 from tidemark.operators.dedup import first_per_key
+from tidemark.plans.dimension import create_dimension
 from tidemark.plans.model import CUSTOMER_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS
 from tidemark.session import shared_path, stored
 from tidemark.tables.versioned import VersionedTable
@@ -51,6 +52,11 @@ def new_table(spark: SparkSession, label: str, **options) -> VersionedTable:
     return VersionedTable(spark, shared_path(spark, label), clock=lambda: datetime(2024, 1, 1), **options)
 
 
+def new_dimension(spark: SparkSession, schema: str, keys: list[str], buckets: int = 8) -> VersionedTable:
+    """An own dimension by key buckets for one run, with a fixed clock."""
+    return create_dimension(spark, shared_path(spark, "dim"), schema, keys, buckets, clock=lambda: datetime(2024, 1, 1))
+
+
 # -- SQL expressions that read the same in both engines ------------------------------
 
 CUSTOMER_EXPR = {

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.checks import inputs as I
 from tidemark.checks.registry import query
-from tidemark.functions.columns import CURRENT
 from tidemark.plans import incremental as inc
 from tidemark.plans import model
+from tidemark.plans.dimension import dimension_rows
 from tidemark.tables.versioned import VersionedTable
 
 FEED_MARK = "2024-01-15 00:00:00"
@@ -210,8 +210,7 @@ def second_feed(spark, sf):
 def cycle_tables(spark):
     control = I.new_table(spark, "control").create_empty(inc.CONTROL_SCHEMA)
     staged = I.new_table(spark, "staged", partition_by=["batch_id"]).create_empty(STAGED_SCHEMA)
-    dim = I.new_table(spark, "dim", partition_by=[CURRENT]).create_empty(DIM_SCHEMA)
-    return control, staged, dim
+    return control, staged, I.new_dimension(spark, DIM_SCHEMA, ["customer_id"])
 
 
 @query(
@@ -243,4 +242,4 @@ def inc_full_cycle(spark, sf):
     second = second_feed(spark, sf)
     inc.run_cycle(spark, CUSTOMER, second, staged, control, I.T1, dim)
     inc.run_cycle(spark, CUSTOMER, second, staged, control, "2024-03-01 00:00:00", dim)
-    return dim.read()
+    return dimension_rows(dim)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.changes import equal_keys
 from tidemark.session import stored
@@ -43,25 +44,46 @@ def _either(clauses: Sequence[Matched]) -> Column:
     return met
 
 
+# Source rows of a key that are tried before all of them.
+_FIRST = 8
+
+
+def _counted(df: DataFrame, name: str) -> DataFrame:
+    """Equal rows as one with their number, summed up in each task before the shuffle."""
+    if any(isinstance(f.dataType, (T.MapType, T.VariantType)) for f in df.schema.fields):
+        return df.withColumn(name, F.lit(1).cast("bigint"))
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))
+
+
 def _check_unambiguous(
     target: DataFrame, source: DataFrame, keys: Sequence[str], on: Column, touches: Column
 ) -> None:
+    """Raise if several source rows modify one target row.
+
+    Copies count and do not meet each other: a target row is ambiguous by the number of a
+    single source row, or by two different ones. A few source rows of each key are tried
+    first, which finds what is ambiguous without looking at a long list of them.
+    """
     repeated = (
         source.groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
     )
     if repeated.isEmpty():
         return
-    doubled = source.join(repeated, list(keys), "left_semi")
-    # Row ids are written with the rows: a task that runs again sees the same ids.
+    doubled = stored(_counted(source.join(repeated, list(keys), "left_semi"), "_copies"), "merge-source")
     candidates = target.join(repeated, list(keys), "left_semi").select(*target.columns)
-    numbered = stored(candidates.withColumn("_row", F.monotonically_increasing_id()), "merge-check")
-    hits = (
-        numbered.alias("t")
-        .join(doubled.alias("s"), on & touches, "inner")
-        .groupBy("t._row")
-        .count()
-    )
-    if not hits.where(F.col("count") > 1).isEmpty():
+    # Row ids are written with the rows: a task that runs again sees the same ids.
+    numbered = _counted(candidates, "_rows").withColumn("_row", F.monotonically_increasing_id())
+    numbered = stored(numbered, "merge-check")
+
+    def ambiguous(some: DataFrame) -> bool:
+        hits = numbered.alias("t").join(some.alias("s"), on & touches, "inner").groupBy("t._row").agg(
+            F.sum("s._copies").alias("n")
+        )
+        return not hits.where(F.col("n") > 1).isEmpty()
+
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_copies").desc()))
+    first = doubled.withColumn("_nth", nth).where(F.col("_nth") <= _FIRST).drop("_nth")
+    if ambiguous(first) or ambiguous(doubled):
         raise AmbiguousMerge(f"several source rows modify one target row; keys {list(keys)}")
 
 

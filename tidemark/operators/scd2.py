@@ -6,14 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import CURRENT, END, HASH, OPEN_END, START, instant
 from tidemark.operators.changes import current_rows, equal_keys
 from tidemark.operators.dedup import first_per_key, newest_per_key
 from tidemark.operators.merge import Matched, NotMatched, merge_into
-from tidemark.session import BROADCAST_ROWS
 
 
 def null_key_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -26,17 +25,15 @@ def null_key_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Scd2Parts:
-    """A dimension after a batch, in three parts that do not overlap."""
+    """A dimension after a batch, in two parts that do not overlap."""
 
     closed: DataFrame
-    """Rows closed before: carried over as they are."""
-    compared: DataFrame
-    """Rows that were open: still open, or expired by this batch."""
-    opened: DataFrame
-    """New open rows: changed keys and new keys."""
+    """Rows closed before, and rows without a key: carried over as they are."""
+    open: DataFrame
+    """Rows that were open (still open, or expired by this batch) and the versions it opens."""
 
     def rows(self) -> DataFrame:
-        return self.closed.unionByName(self.compared).unionByName(self.opened)
+        return self.closed.unionByName(self.open)
 
 
 def scd2_parts(
@@ -46,28 +43,32 @@ def scd2_parts(
     as_of: Column | datetime | str,
     *,
     newest_by: Sequence[str] = ("load_date",),
-    batch_rows: int | None = None,
 ) -> Scd2Parts:
     """Apply one batch. Running the same batch again changes nothing.
 
     The newest row per key counts, ties broken by hash; NULL keys are left out
     (see ``null_key_rows``). Hashes compare null-safe. Keys absent from the batch
-    stay open. Only ``keys`` and hash of either side take part in the joins. With
-    ``batch_rows`` known to be small those of the batch are broadcast and the
-    dimension is not shuffled; otherwise Spark picks the joins.
+    stay open. Open rows and batch are read once: a full outer join on the keys meets each
+    key's old row and its new one, and gives back one or both. Open rows are shuffled, so a
+    large dimension is laid out by key buckets (``plans.dimension``), of which only those
+    that the batch touches come here.
     """
     order = [c for c in newest_by if c in batch.columns]
-    valid = batch.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    latest = newest_per_key(valid, keys, [*order, HASH])
-    narrow = latest.select(*keys, HASH, F.lit(True).alias("_hit"))
-    if batch_rows is not None and batch_rows <= BROADCAST_ROWS:
-        narrow = F.broadcast(narrow)
+    has_keys = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    latest = newest_per_key(batch.where(has_keys), keys, [*order, HASH])
     now = instant(as_of)
 
-    joined = current_rows(dim).alias("d").join(narrow.alias("b"), equal_keys(keys, "d", "b"), "left")
-    expired = F.col("b._hit") & ~F.col(f"d.{HASH}").eqNullSafe(F.col(f"b.{HASH}"))
+    # A key has one open row. Where it has several, its new version comes with the first.
+    by_key = Window.partitionBy(*keys).orderBy(HASH)
+    of_key = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    known = current_rows(dim).where(has_keys).withColumns(
+        {"_nth": F.row_number().over(by_key), "_open": F.collect_set(F.struct(F.col(HASH).alias("h"))).over(of_key)}
+    )
+    joined = known.alias("d").join(latest.alias("b"), equal_keys(keys, "d", "b"), "full_outer")
+    was, comes = F.col(f"d.{keys[0]}").isNotNull(), F.col(f"b.{keys[0]}").isNotNull()
+    expired = comes & ~F.col(f"d.{HASH}").eqNullSafe(F.col(f"b.{HASH}"))
     replaced = {END.lower(): now, CURRENT.lower(): F.lit(0)}
-    compared = joined.select(
+    old = F.struct(
         *[
             F.when(expired, replaced[f.name.lower()].cast(f.dataType)).otherwise(F.col(f"d.{f.name}")).alias(f.name)
             if f.name.lower() in replaced
@@ -75,28 +76,17 @@ def scd2_parts(
             for f in dim.schema.fields
         ]
     )
-
-    same = equal_keys(keys, "d", "b") & F.col(f"d.{HASH}").eqNullSafe(F.col(f"b.{HASH}"))
-    unchanged = (
-        current_rows(dim).select(*keys, HASH).alias("d").join(narrow.alias("b"), same, "left_semi")
-    )
-    changed = latest.join(
-        unchanged.select(*keys), list(keys), "left_anti"
-    )
-    given = {c.lower(): F.col(c) for c in batch.columns}
-    given |= {
-        START.lower(): now,
-        END.lower(): instant(OPEN_END),
-        CURRENT.lower(): F.lit(1),
-    }
-    opened = changed.select(
-        *[
-            given.get(f.name.lower(), F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in dim.schema.fields
-        ]
+    given = {c.lower(): F.col(f"b.{c}") for c in batch.columns}
+    given |= {START.lower(): now, END.lower(): instant(OPEN_END), CURRENT.lower(): F.lit(1)}
+    new = F.struct(
+        *[given.get(f.name.lower(), F.lit(None)).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
     )
-    closed = dim.where(~F.col(CURRENT).eqNullSafe(F.lit(1)))
-    return Scd2Parts(closed, compared, opened)
+    held = F.exists("d._open", lambda x: x["h"].eqNullSafe(F.col(f"b.{HASH}")))
+    opens = comes & (~was | ((F.col("d._nth") == 1) & ~held))
+    both = F.array_compact(F.array(F.when(was, old), F.when(opens, new)))
+    after = joined.select(F.explode(both).alias("row")).select("row.*")
+    closed = dim.where(~F.col(CURRENT).eqNullSafe(F.lit(1)) | ~F.expr(has_keys))
+    return Scd2Parts(closed, after)
 
 
 def scd2_batch(

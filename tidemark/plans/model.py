@@ -6,26 +6,33 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 # Column names of the order file, in file order.
-ORDER_COLUMNS = (
-    "order_id order_date requested_ship_date promised_ship_date days_to_ship lead_time_days "
-    "sla_days order_status priority order_category customer_id customer_name customer_segment "
-    "region country state city postal_code contact_email contact_phone payment_terms "
-    "payment_status sku product_name sku_color category sub_category uom qty unit_price currency "
-    "line_amount tax_rate tax_amount total_amount fulfillment_channel source_system "
-    "source_system_normalized ingest_ts is_valid data_quality_notes created_by last_updated_ts"
-).split()
+ORDER_COLUMNS = [
+    "order_id", "order_date", "requested_ship_date", "promised_ship_date", "days_to_ship",
+    "lead_time_days", "sla_days", "order_status", "priority", "order_category", "customer_id",
+    "customer_name", "customer_segment", "region", "country", "state", "city", "postal_code",
+    "contact_email", "contact_phone", "payment_terms", "payment_status", "sku", "product_name",
+    "sku_color", "category", "sub_category", "uom", "qty", "unit_price", "currency", "line_amount",
+    "tax_rate", "tax_amount", "total_amount", "fulfillment_channel", "source_system",
+    "source_system_normalized", "ingest_ts", "is_valid", "data_quality_notes", "created_by",
+    "last_updated_ts",
+]
 
 # Attributes of the dimensions, in the order their hashes use.
-CUSTOMER_COLUMNS = (
-    "customer_id customer_name customer_segment region country state city postal_code contact_email"
-).split()
-PRODUCT_COLUMNS = "product_name category sub_category color unit_price currency tax_rate".split()
-ORDER_DIM_COLUMNS = (
-    "order_id order_date requested_ship_date promised_ship_date days_to_ship lead_time_days "
-    "sla_days order_status priority order_category payment_status uom qty unit_price line_amount "
-    "tax_rate tax_amount fulfillment_channel"
-).split()
-FACT_HASH_COLUMNS = "order_id order_date qty unit_price tax_rate fulfillment_channel".split()
+CUSTOMER_COLUMNS = [
+    "customer_id", "customer_name", "customer_segment", "region", "country", "state", "city",
+    "postal_code", "contact_email",
+]
+PRODUCT_COLUMNS = [
+    "product_name", "category", "sub_category", "color", "unit_price", "currency", "tax_rate",
+]
+ORDER_DIM_COLUMNS = [
+    "order_id", "order_date", "requested_ship_date", "promised_ship_date", "days_to_ship",
+    "lead_time_days", "sla_days", "order_status", "priority", "order_category", "payment_status",
+    "uom", "qty", "unit_price", "line_amount", "tax_rate", "tax_amount", "fulfillment_channel",
+]
+FACT_HASH_COLUMNS = [
+    "order_id", "order_date", "qty", "unit_price", "tax_rate", "fulfillment_channel",
+]
 
 # Sub-category by product name; every other product is Audio.
 SUB_CATEGORIES = {
@@ -69,6 +76,8 @@ class TableSpec:
     modified: str = "modifiedon"
     load: str = "load_date"
     source: str | None = None
+    rules: tuple[tuple[str, str], ...] = ()
+    """Reasons to turn a row away, each with SQL over the model's columns that is true then."""
 
 
 def customer_spec(prefix: str, source: str | None = None) -> TableSpec:

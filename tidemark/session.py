@@ -37,19 +37,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def create_file(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a small file unless there is one; whether this call made it."""
-    jvm_path, system = _file_system(spark, path)
+    """Write a small file unless there is one; whether this call made it.
+
+    The file is written under a name of its own and appears under ``path`` whole or not at
+    all: a writer that dies in between leaves a file that nobody reads.
+    """
+    folder, name = path.rsplit("/", 1)
+    draft, system = _file_system(spark, f"{folder}/_{name}-{uuid.uuid4().hex}")
+    target, _ = _file_system(spark, path)
+    out = system.create(draft, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
     try:
-        out = system.create(jvm_path, False)
+        if system.getScheme() != "file":
+            # Renaming does not replace a file.
+            return not system.exists(target) and system.rename(draft, target)
+        # Renaming would, on a local disk; a second name for the file does not.
+        places = [spark._jvm.java.io.File(system.makeQualified(p).toUri().getPath()).toPath() for p in (target, draft)]
+        spark._jvm.java.nio.file.Files.createLink(*places)
+        return True
     except Py4JJavaError as error:
         if "FileAlreadyExists" in error.java_exception.getClass().getName():
             return False
         raise
-    try:
-        out.write(bytearray(text.encode()))
     finally:
-        out.close()
-    return True
+        system.delete(draft, False)
 
 
 def partition_directories(spark: SparkSession, path: str, depth: int) -> list[str]:

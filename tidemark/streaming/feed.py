@@ -45,7 +45,7 @@ def load_micro_batch(
     count = staged.append(batch_rows, evolve=True)
     if count and dim is not None:
         batch = staged.read().where(F.col(BATCH) == batch_id).drop(TAG)
-        apply_batch(dim, batch, spec, as_of, batch_rows=count)
+        apply_batch(dim, batch, spec, as_of)
     return count
 
 

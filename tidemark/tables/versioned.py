@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import merge_into
-from tidemark.session import create_file, partition_directories, path_exists
+from tidemark.session import broadcast_if_small, create_file, partition_directories, path_exists, stored
 
 _VERSION = "commit_version"
 _DIRECTORY = rf"/data/({_VERSION}=.+)/[^/]+$"
@@ -166,12 +166,12 @@ class VersionedTable:
     def _widened(schema: T.StructType, other: T.StructType) -> T.StructType:
         known = {f.name.lower() for f in schema.fields}
         return T.StructType(
-            schema.fields + [T.StructField(f.name, f.dataType) for f in other.fields if f.name.lower() not in known]
+            schema.fields + [T.StructField(f.name, f.dataType, True, f.metadata) for f in other.fields if f.name.lower() not in known]
         )
 
     @staticmethod
     def _nullable(schema: T.StructType) -> T.StructType:
-        return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+        return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
 
     # -- definition ----------------------------------------------------------------
 
@@ -310,10 +310,46 @@ class VersionedTable:
         self._commit("RESTORE", old.dirs, old.schema)
 
     def merge(self, source: DataFrame, keys: Sequence[str], **clauses) -> None:
-        """MERGE INTO; clauses as in ``merge_into``."""
+        """MERGE INTO; clauses as in ``merge_into``.
+
+        Only the directories that hold a row the source can match are read whole and
+        written again; rows to insert are those that match in none of them.
+        """
         head = self._current()
-        dirs, rows = self._write(merge_into(self.read(), source, keys, **clauses))
-        self._commit("MERGE", dirs, head.schema, rows)
+        touched: set[str] = set()
+        if head.dirs:
+            rows = self._scan(head).withColumn("_dir", self._directory()).alias("t")
+            if (condition := clauses.get("target_condition")) is not None:
+                rows = rows.where(condition)
+            wanted = stored(source.select(*keys).distinct(), "merge-keys")
+            hit = rows.join(broadcast_if_small(wanted), list(keys), "left_semi").select("_dir").distinct()
+            touched = {unquote(r["_dir"]) for r in hit.collect()}
+        kept = [d for d in head.dirs if d not in touched]
+        dirs, rows = self._write(merge_into(self._rows_of(head, sorted(touched)), source, keys, **clauses))
+        self._commit("MERGE", [*kept, *dirs], head.schema, rows)
+
+    @staticmethod
+    def _values(directory: str) -> dict[str, str]:
+        """The partition values that a directory's name holds."""
+        return dict(unquote(part).split("=", 1) for part in directory.split("/")[1:])
+
+    def _within(self, values: Mapping[str, Sequence[object]]) -> list[str]:
+        wanted = {k: {str(v) for v in vs} for k, vs in values.items()}
+        return [d for d in self._current().dirs if all(self._values(d).get(k) in vs for k, vs in wanted.items())]
+
+    def read_parts(self, values: Mapping[str, Sequence[object]]) -> DataFrame:
+        """The rows of the partitions with these values; other directories are not listed."""
+        return self._rows_of(self._current(), self._within(values))
+
+    def replace_parts(self, operation: str, values: Mapping[str, Sequence[object]], df: DataFrame) -> int:
+        """Replace the partitions with these values by ``df``, which may add rows to others.
+
+        All other directories are kept without being read. Returns the rows written.
+        """
+        head, gone = self._current(), set(self._within(values))
+        dirs, rows = self._write(self._conform(df, head.schema))
+        self._commit(operation, [*[d for d in head.dirs if d not in gone], *dirs], head.schema, rows)
+        return rows
 
     def replace_open(self, operation: str, carried: Mapping[str, object], df: DataFrame) -> None:
         """Keep the directories of one partition and replace all others by ``df``.
