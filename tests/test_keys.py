@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import dedup, keys
 
@@ -27,40 +28,53 @@ def test_surrogate_key_of_an_empty_table(spark):
     assert keys.with_surrogate_key(df, ["name"], "sk").collect() == []
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10**9])
-def test_row_numbers_with_a_hot_key(spark, hot_rows):
-    """One key holds half of the rows, another is NULL; both ways give the window's result."""
+@pytest.mark.parametrize("rows_per_range", [50, 700, 10**9])
+def test_row_numbers_with_a_hot_key(spark, rows_per_range):
+    """One key holds half of the rows, another is NULL; any number of ranges gives the window's result."""
     rnd = random.Random(7)
-    data = [("hot" if rnd.random() < 0.5 else rnd.choice([None, *"abcdefgh"]), i) for i in range(3000)]
-    df = spark.createDataFrame(data, "k string, v int")
-    order = [F.col("v").desc()]
-    out = keys.row_numbers(df, ["k"], order, hot_rows=hot_rows)
-    plain = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("bigint"))
-    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    data = [("hot" if rnd.random() < 0.5 else rnd.choice([None, *"abcdefgh"]), rnd.choice([i, None])) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, v int").withColumn("w", F.monotonically_increasing_id() % 977)
+    df = spark.createDataFrame(df.collect(), df.schema)
+    for descending in (["v"], []):
+        order = [F.col("v").desc() if descending else F.col("v").asc(), F.xxhash64("k", "v", "w")]
+        out = keys.row_numbers(df, ["k"], ["v"], descending=descending, rows_per_range=rows_per_range)
+        plain = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("bigint"))
+        assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
 
 
 def test_row_numbers_of_copies_of_one_row(spark):
-    """A third of the rows are copies of one row: they spread over the sorted partitions."""
+    """A third of the rows are copies of one row: they are counted and written out in pieces."""
     copies = spark.range(0, 20000, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
     rest = spark.range(0, 40000, 1, 8).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
-    out = keys.row_numbers(copies.unionByName(rest), ["k"], [F.col("v")], hot_rows=5000).cache()
+    out = keys.row_numbers(copies.unionByName(rest), ["k"], ["v"], rows_per_range=5000).cache()
     hot = out.where("k = 'hot'")
     assert (hot.count(), hot.select("rn").distinct().count()) == (20000, 20000)
     assert hot.agg(F.min("rn"), F.max("rn")).first()[:] == (1, 20000)
     assert out.where("k <> 'hot' AND rn = 1").count() == 40000
-    salted = keys.stored(copies.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int")), "t")
-    spread = salted.repartitionByRange(8, "k", "v", F.xxhash64("k", "v", "_salt")).groupBy(F.spark_partition_id()).count()
-    assert spread.agg(F.max("count")).first()[0] < 10000
+    numbered = keys.with_surrogate_key(copies.unionByName(rest), ["v"], "sk", rows_per_range=5000).cache()
+    assert numbered.agg(F.count("sk"), F.count_distinct("sk"), F.min("sk"), F.max("sk")).first()[:] == (60000, 60000, 1, 60000)
+
+
+def test_near_equal_rows_spread_over_ranges(spark):
+    """All rows have one value of the key: they are cut by the hash of the row."""
+    df = spark.range(0, 40000, 1, 8).select(F.lit("same").alias("k"), "id")
+    rows = df.withColumn("_tie", F.xxhash64("k", "id"))
+    order = [("k", False, T.StringType()), ("_tie", False, T.LongType())]
+    cuts, heavy = keys._cut_points(rows.select("k", "_tie"), [F.col("k"), F.col("_tie")], 40000, 16)
+    sizes = [r["count"] for r in rows.groupBy(keys._range(order, cuts, heavy).alias("r")).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 40000 / 16 and not any(heavy)
 
 
 def test_numbering_a_large_table_does_not_use_one_task(spark):
     df = spark.range(0, 50000, 1, 8).select(F.col("id").cast("string").alias("k"))
-    out = keys.with_surrogate_key(df, ["k"], "sk")
+    out = keys.with_surrogate_key(df, ["k"], "sk", rows_per_range=5000)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    # The only single-partition step sees one row per sorted partition.
+    # The only single-partition step sees one row per range.
     single = plan[plan.index("Exchange SinglePartition"):]
     assert plan.count("Exchange SinglePartition") == 1
-    assert "HashAggregate(keys=[_part" in single
+    assert "HashAggregate(keys=[_range" in single
+    plain = df.withColumn("sk", F.row_number().over(Window.orderBy("k")).cast("bigint"))
+    assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
 
 
 def test_first_and_newest_per_key(spark):

@@ -280,8 +280,8 @@ def win_row_number(spark, sf):
     lines = I.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
     )
-    order = [F.col("l_linenumber").desc(), "l_partkey", "l_suppkey", "l_extendedprice"]
-    return keys.row_numbers(lines, ["l_orderkey"], [F.col(c) if isinstance(c, str) else c for c in order])
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    return keys.row_numbers(lines, ["l_orderkey"], order, descending=["l_linenumber"])
 
 
 @query(

@@ -4,66 +4,147 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import shared_path, stored
-
-# Rows of one key that one task may sort by itself.
-HOT_KEY_ROWS = 5_000_000
-# Parts into which equal rows of a hot key are split.
-_SALTS = 4096
-# monotonically_increasing_id() holds the row's place in its partition in the low bits.
-_PLACE_BITS = 33
-
-
-def _sorted_with_place(df: DataFrame, sort_by: Sequence[Column]) -> DataFrame:
-    """Sort over the cluster and write, with each row's place in the global order.
-
-    The written table fixes partition and place, so that counting and numbering
-    see the same rows even if a task runs again. Ties are settled by a hash of the
-    row, so that many equal values of ``sort_by`` spread over partitions too.
-    Offsets are one row per sorted partition.
+# Rows that one range of the order should hold, and most ranges; beyond it they grow.
+ROWS_PER_RANGE = 2_000_000
+MAX_RANGES = 512
+# Rows of the sample for each cut point.
+_SAMPLED = 32
+# Copies of a row that one task writes at a time.
+_COPIES = 100_000
+_UNORDERED = (T.MapType, T.VariantType)
+
+# (column, whether descending, type)
+Order = Sequence[tuple[str, bool, T.DataType]]
+
+
+def _literal(value: object, kind: T.DataType) -> Column:
+    # A datetime without a zone would be read in the zone of the driver.
+    text = isinstance(kind, T.TimestampNTZType)
+    return F.lit(str(value) if text else value).cast(kind)
+
+
+def _later(order: Order, cut: Row) -> Column:
+    """Whether a row sorts after the cut point; NULL sorts first, last where descending."""
+    later = F.lit(False)
+    for (name, descending, kind), value in reversed(list(zip(order, cut, strict=True))):
+        at = _literal(value, kind)
+        if value is None:
+            after, same = F.lit(False) if descending else F.col(name).isNotNull(), F.col(name).isNull()
+        else:
+            after = F.col(name).isNull() | (F.col(name) < at) if descending else F.col(name) > at
+            same = F.col(name) == at
+        later = F.coalesce(after, F.lit(False)) | (F.coalesce(same, F.lit(False)) & later)
+    return later
+
+
+def _equal(order: Order, cut: Row) -> Column:
+    same = F.lit(True)
+    for (name, _, kind), value in zip(order, cut, strict=True):
+        same = same & F.col(name).eqNullSafe(F.lit(None) if value is None else _literal(value, kind))
+    return same
+
+
+def _cut_points(narrow: DataFrame, sort: Sequence[Column], rows: int, ranges: int) -> tuple[list[Row], list[bool]]:
+    """Quantiles of the order from a sample of bounded size, and which of them are one row's many copies."""
+    share = min(1.0, _SAMPLED * ranges / rows)
+    sample = narrow.sample(share, seed=1).orderBy(*sort).collect()
+    picked = [sample[i * len(sample) // ranges] for i in range(1, ranges)] if len(sample) >= ranges else sample
+    cuts, heavy = [], []
+    for cut in picked:
+        if cuts and cut == cuts[-1]:
+            heavy[-1] = True
+        else:
+            cuts.append(cut)
+            heavy.append(False)
+    return cuts, heavy
+
+
+def _range(order: Order, cuts: list[Row], heavy: list[bool]) -> Column:
+    """Twice the number of cut points before a row; one more where it is a heavy cut point itself."""
+
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            if low < len(cuts) and heavy[low]:
+                return F.lit(2 * low) + _equal(order, cuts[low]).cast("int")
+            return F.lit(2 * low)
+        middle = (low + high) // 2
+        return F.when(_later(order, cuts[middle]), among(middle + 1, high)).otherwise(among(low, middle))
+
+    return among(0, len(cuts))
+
+
+def _numbered(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], descending: Sequence[str], name: str, rows_per_range: int
+) -> DataFrame:
+    """Number the rows of each key 1..n; without keys, those of the whole table.
+
+    The order is cut into ranges at literal points, so that the rows of one key, or of the
+    table, are numbered in several tasks; what a key's earlier ranges hold is added. Rows
+    equal in ``order_by`` follow a hash of the whole row, whatever the number of ranges.
+    Copies of one row that fill a range of their own are counted, not sorted, and written
+    out again in pieces. Nothing is written in between, so ``df`` is read more than once
+    and must give the same rows each time.
     """
-    spark = df.sparkSession
-    path = shared_path(spark, "numbered")
-    others = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    (
-        df.orderBy(*sort_by, F.xxhash64(*others))
-        .withColumn("_row_id", F.monotonically_increasing_id())
-        .select(
-            "*",
-            F.shiftright("_row_id", _PLACE_BITS).cast("int").alias("_part"),
-            F.col("_row_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),
-        )
-        .drop("_row_id")
-        .write.parquet(path)
-    )
-    placed = spark.read.parquet(path)
-    counts = placed.groupBy("_part").agg((F.max("_place") + 1).alias("_rows"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col("_part"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
-    )
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn("_global", F.col("_offset") + F.col("_place") + 1)
-        .drop("_part", "_place", "_offset")
-    )
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNORDERED)]
+    order = [*[(c, c in descending, df.schema[c].dataType) for c in order_by], ("_tie", False, T.LongType())]
+    sort = [F.col(c).desc() if down else F.col(c).asc() for c, down, _ in order]
+    rows = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in hashed]))
+    count = df.count()
+    ranges = min(MAX_RANGES, -(-count // rows_per_range))
+    if ranges <= 1:
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort))
+        return rows.withColumn(name, nth.cast("bigint")).drop("_tie")
+
+    cuts, heavy = _cut_points(rows.select(*[c for c, _, _ in order]), sort, count, ranges)
+    if len(hashed) < len(df.columns):
+        heavy = [False] * len(cuts)
+    rows = rows.withColumn("_range", _range(order, cuts, heavy))
+    sizes = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    if not keys:
+        # At most two rows for each cut point.
+        offsets = F.broadcast(offsets)
+
+    def in_order(part: DataFrame, place: Column) -> DataFrame:
+        same = F.col("p._range") == F.col("o._range")
+        for k in keys:
+            same = same & F.col(f"p.{k}").eqNullSafe(F.col(f"o.{k}"))
+        placed = part.withColumn("_nth", place).alias("p").join(offsets.alias("o"), same)
+        return placed.select("p.*", F.col("o._offset"))
+
+    number = (F.col("_offset") + F.col("_nth")).cast("bigint").alias(name)
+    within = Window.partitionBy(*keys, "_range").orderBy(*sort)
+    out = in_order(rows.where(F.col("_range") % 2 == 0), F.row_number().over(within)).select(*df.columns, number)
+    if any(heavy):
+        copies = rows.where(F.col("_range") % 2 == 1).groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        before = F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_copies")
+        pieces = in_order(copies, before).withColumn("_piece", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {_COPIES})")))
+        each = F.expr(f"sequence(_piece * {_COPIES} + 1, least(_copies, (_piece + 1) * {_COPIES}))")
+        spread = pieces.repartition(F.col("_tie"), F.col("_piece")).withColumn("_copy", F.explode(each))
+        out = out.unionByName(spread.withColumn("_nth", F.col("_nth") + F.col("_copy")).select(*df.columns, number))
+    return out
 
 
 def with_surrogate_key(
-    df: DataFrame, order_by: Sequence[str], name: str, start_after: int | Column = 0
+    df: DataFrame,
+    order_by: Sequence[str],
+    name: str,
+    start_after: int | Column = 0,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Number all rows 1..n in the order of ``order_by``, after ``start_after``.
 
     Gives what one window over the whole table gives, without its single task.
     Equal values of ``order_by`` are numbered in an order of their own, the same each time.
     """
-    numbered = _sorted_with_place(df, [F.col(c) for c in order_by])
+    numbered = _numbered(df, [], order_by, [], name, rows_per_range)
     after = start_after if isinstance(start_after, Column) else F.lit(start_after)
-    return numbered.withColumn(name, (F.col("_global") + after).cast("bigint")).drop("_global")
+    return numbered.withColumn(name, (F.col(name) + after).cast("bigint"))
 
 
 def next_key_start(df: DataFrame, key: str) -> DataFrame:
@@ -74,51 +155,18 @@ def next_key_start(df: DataFrame, key: str) -> DataFrame:
 def row_numbers(
     df: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[Column],
+    order_by: Sequence[str],
     name: str = "rn",
-    hot_rows: int = HOT_KEY_ROWS,
+    descending: Sequence[str] = (),
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Number the rows of each key 1..n in the order of ``order_by``.
 
-    Keys with more than ``hot_rows`` rows are sorted over the whole cluster and
-    numbered by place; all others use a window. There are at most
-    ``rows / hot_rows`` hot keys, which bounds what is broadcast.
+    The columns named in ``descending`` are sorted that way. A key's rows are numbered by
+    ranges of the order, so that one key may hold most of a table; ties come out alike however
+    many ranges there are.
     """
-    window = Window.partitionBy(*keys).orderBy(*order_by)
-
-    def plain(part: DataFrame) -> DataFrame:
-        return part.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-    hot_path = shared_path(df.sparkSession, "hot-keys")
-    df.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys).write.parquet(hot_path)
-    hot = df.sparkSession.read.parquet(hot_path)
-    if hot.isEmpty():
-        return plain(df)
-
-    def same_key(left: str, right: str) -> Column:
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
-        return cond
-
-    marked = F.broadcast(hot).alias("h")
-    cold_rows = df.alias("d").join(marked, same_key("d", "h"), "left_anti")
-    hot_part = df.alias("d").join(marked, same_key("d", "h"), "left_semi")
-    # The salt is written with the rows before they are sorted by it: copies of one
-    # row then split over partitions, and a task that runs again sees the same salt.
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int")
-    salted = stored(hot_part.withColumn("_salt", salt), "hot-rows")
-    placed = _sorted_with_place(salted, [*[F.col(k).asc() for k in keys], *order_by])
-    firsts = placed.groupBy(*keys).agg(F.min("_global").alias("_first"))
-    numbered = (
-        placed.alias("p")
-        .join(F.broadcast(firsts).alias("f"), same_key("p", "f"))
-        .select(
-            *[F.col(f"p.{c}").alias(c) for c in df.columns],
-            (F.col("p._global") - F.col("f._first") + 1).cast("bigint").alias(name),
-        )
-    )
-    return plain(cold_rows).unionByName(numbered)
+    return _numbered(df, keys, order_by, descending, name, rows_per_range)
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
