@@ -169,3 +169,35 @@ def test_three_part_table_names(spark):
     spark.sql(f"CREATE TABLE bronze.dimcustomer (id BIGINT) USING parquet LOCATION '{path}'")
     assert spark.read.table("spark_catalog.bronze.DimCustomer").count() == 3
     spark.sql("DROP TABLE bronze.dimcustomer")
+
+
+def test_numbers_keep_their_digits(spark):
+    from tidemark.functions import json_fields
+
+    rows = [
+        ('{"data":{"p":12345678901234567.89}}',), ('{"data":{"p":{"value":0.30000000000000000004}}}',),
+        ('{"data":{"p":12.50}}',), ('{"data":{"p":{"x":1}}}',), ('{"data":{"p":null}}',), ('{"data":{"p":"1.00"}}',), ("{",), (None,),
+    ]
+    df = spark.createDataFrame(rows, "raw string")
+    got = [r[0] for r in df.select(json_fields.object_or_scalar("raw", "$.data.p", "value")).collect()]
+    assert got == ["12345678901234567.89", "0.30000000000000000004", "12.5", None, None, "1.00", None, None]
+
+
+def test_landing_writes_no_empty_endpoints(spark):
+    import os
+
+    from tidemark.session import shared_path
+    from tidemark.sources import payloads
+
+    rows = [
+        ("a", '{"data":[{"id":1},{"id":2}]}'), ("a", '[{"id":3}]'), ("a", '{"data":['), ("b", "[]"), ("c", "{"), ("c", '{"id":\n'), ("z", '{"id":9}'), ("b", None),
+    ]
+    path = shared_path(spark, "endpoints")
+    df = spark.createDataFrame(rows, "name string, body string")
+    status = {r.endpoint: r[1:] for r in payloads.land_endpoints(df, "name", "body", ["a", "b", "c", "d"], path).collect()}
+    assert status == {
+        "a": (3, 3, 1, "ok"), "b": (2, 0, 1, "failed"), "c": (2, 0, 2, "failed"), "d": (0, 0, 0, "empty"), None: (1, 1, 0, "ok"),
+    }
+    assert sorted(os.listdir(f"{path}/kind=record")) == ["endpoint=a", "endpoint=z"]
+    landed = payloads.landed_records(spark, path)
+    assert sorted((r.endpoint, r.id) for r in landed.collect()) == [("a", 1), ("a", 2), ("a", 3), ("z", 9)]

@@ -11,7 +11,7 @@ from tidemark.operators import changes, dedup, scd2
 from tidemark.operators.merge import Matched, NotMatched, merge_into
 from tidemark.plans import star
 from tidemark.plans.model import CUSTOMER_COLUMNS, ORDER_COLUMNS, ORDER_DIM_COLUMNS, PRODUCT_COLUMNS
-from tidemark.session import stored
+from tidemark.session import shared_path, stored
 
 SCD2_SQL = """
 SELECT {cols}, start_column,
@@ -325,3 +325,44 @@ _ORDER_REST = ", ".join(c for c in ORDER_DIM_COLUMNS if c != "order_id")
 )
 def pl_dim_orders(spark, sf):
     return star.dim_orders(I.order_lines(spark, sf), I.T0)
+
+
+@query(
+    "pl_csv_to_star",
+    f"""WITH all_lines AS (SELECT {I._list(I.ORDER_EXPR, ORDER_COLUMNS)}, l_linenumber {I.LINES_FROM}),
+    good AS (SELECT * FROM all_lines WHERE l_linenumber < 7),
+    named AS (SELECT product_name, row_number() OVER (ORDER BY product_name) AS product_id
+      FROM (SELECT DISTINCT product_name FROM good))
+    SELECT 'customers' AS output, count(*) AS rows, CAST(count(*) * (count(*) + 1) // 2 AS BIGINT) AS keys
+      FROM (SELECT DISTINCT customer_id FROM good)
+    UNION ALL SELECT 'products', count(*), CAST(sum(product_id) AS BIGINT) FROM named
+    UNION ALL SELECT 'orders', count(*), CAST(sum(CAST(order_id AS BIGINT)) AS BIGINT)
+      FROM (SELECT DISTINCT order_id FROM good WHERE length(order_id) < 5)
+    UNION ALL SELECT 'fact', count(*), CAST(sum(product_id) AS BIGINT) FROM good JOIN named USING (product_name)
+    UNION ALL SELECT 'bad_order_id', count(*), NULL FROM good WHERE length(order_id) >= 5
+    UNION ALL SELECT 'broken_line', count(*), CAST(sum(CAST(order_id AS BIGINT)) AS BIGINT) FROM all_lines WHERE l_linenumber = 7""",
+)
+def pl_csv_to_star(spark, sf):
+    """An order file with lines that break off and order ids that are no number, to all its tables."""
+    path = shared_path(spark, "order-file")
+    lines = I.order_lines(spark, sf, "l_linenumber")
+    order_id = F.when((F.length("order_id") >= 5) & (F.col("l_linenumber") < 7), F.concat(F.lit("n"), "order_id"))
+    lines = lines.withColumn("order_id", F.coalesce(order_id, F.col("order_id")))
+    line = F.concat_ws(",", *ORDER_COLUMNS)
+    text = lines.select(F.when(F.col("l_linenumber") == 7, F.substring_index(line, ",", 10)).otherwise(line).alias(",".join(ORDER_COLUMNS)))
+    # The whole line is one column, so that it is written as it is, under a header of all names.
+    text.write.option("header", True).option("sep", "\x01").option("escapeQuotes", False).csv(path)
+    made = star.star_from_csv(spark, path, I.T0)
+
+    def counted(name: str, df, key):
+        return df.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("rows"), F.sum(key).cast("bigint").alias("keys"))
+
+    first = F.substring_index("line", ",", 1)
+    return (
+        counted("customers", made.customers, F.col("customer_key"))
+        .unionByName(counted("products", made.products, F.col("product_id")))
+        .unionByName(counted("orders", made.orders, F.col("order_id")))
+        .unionByName(counted("fact", made.fact, F.col("product_id")))
+        .unionByName(counted("bad_order_id", made.rejects.where("reason = 'bad_order_id'"), F.lit(None).cast("bigint")))
+        .unionByName(counted("broken_line", made.rejects.where("reason = 'broken_line'"), first.try_cast("bigint")))
+    )

@@ -216,6 +216,30 @@ def src_endpoint_status(spark, sf):
     return payloads.endpoint_status(landed, "endpoint", "body")
 
 
+@query(
+    "src_land_endpoints",
+    """WITH counted AS (
+      SELECT event_type AS endpoint, count(*) AS payloads,
+        CAST(sum(CASE WHEN event_type IN ('error', 'signup') OR event_type = 'view' AND value > 90 THEN 0 ELSE 2 END) AS BIGINT) AS records,
+        CAST(sum(CASE WHEN event_type = 'error' OR event_type = 'view' AND value > 90 THEN 1 ELSE 0 END) AS BIGINT) AS failed_payloads
+      FROM events GROUP BY event_type)
+    SELECT c.*, CASE WHEN records > 0 THEN 'ok' WHEN failed_payloads > 0 THEN 'failed' ELSE 'empty' END AS status, id, part
+    FROM counted c LEFT JOIN (SELECT event_type AS endpoint, event_id AS id, part FROM events, (VALUES ('a'), ('b')) v(part)
+      WHERE event_type NOT IN ('error', 'signup') AND NOT (event_type = 'view' AND value > 90)) r ON r.endpoint = c.endpoint""",
+)
+def src_land_endpoints(spark, sf):
+    """Each endpoint's records as landed, beside its state; one fails, one is empty."""
+    body = """CASE WHEN event_type = 'signup' THEN '{"data":[]}'
+      WHEN event_type = 'error' OR event_type = 'view' AND value > 90 THEN '{"data":[{"id":'
+      ELSE '{"data":[{"id":' || event_id || ',"part":"a"},{"id":' || event_id || ',"part":"b"}]}' END AS body"""
+    events = I.table(spark, sf, "events")
+    # The endpoints are configured; here they are those that occur.
+    names = [r[0] for r in events.select("event_type").distinct().collect()]
+    path = shared_path(spark, "endpoints")
+    status = payloads.land_endpoints(events.selectExpr("event_type AS endpoint", body), "endpoint", "body", names, path)
+    return status.join(payloads.landed_records(spark, path, "id bigint, part string"), "endpoint", "left")
+
+
 _RAW_PART = """CASE WHEN p_size > 25
     THEN '{"data":{"product_price":{"value":' || price || '},"product_description":["' || p_name || '","' || p_type || '"],"name":"' || p_brand || '"}}'
     WHEN p_size = 25 THEN '{"data":{"product_price":{"currency":"USD"},"product_description":null}}'
@@ -231,7 +255,7 @@ def _raw_records(spark, sf):
 
 @query(
     "json_object_or_scalar",
-    """SELECT p_partkey, CASE WHEN p_size = 25 THEN NULL ELSE CAST(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS VARCHAR) END AS price
+    """SELECT p_partkey, CASE WHEN p_size = 25 THEN NULL ELSE regexp_replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '[.]?0+$', '') END AS price
     FROM part""",
 )
 def json_object_or_scalar(spark, sf):
@@ -249,11 +273,41 @@ def json_array_or_scalar(spark, sf):
     return _raw_records(spark, sf).select("p_partkey", text.alias("description"))
 
 
+@query(
+    "json_product_detail",
+    """SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS asin, p_name AS product_title,
+      CASE WHEN p_size = 25 THEN NULL WHEN p_size = 24 THEN '12345678901234567.89'
+        ELSE regexp_replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '[.]?0+$', '') END AS price,
+      CAST(p_size AS VARCHAR) AS rating, CAST(p_partkey * 1000000007 AS VARCHAR) AS rating_count, p_brand AS brand,
+      CAST(NULL AS VARCHAR) AS availability_status,
+      CASE WHEN p_size > 25 THEN p_name || ' ' || p_type ELSE p_type END AS product_description,
+      CAST(NULL AS VARCHAR) AS product_url, 'US' AS country FROM part""",
+)
+def json_product_detail(spark, sf):
+    """Detail records of either shape, parsed once; prices keep all their digits."""
+    priced = I.table(spark, sf, "part").withColumn(
+        "price",
+        F.when(F.col("p_size") == 24, F.lit("12345678901234567.89")).otherwise(
+            F.col("p_retailprice").cast("decimal(18,2)").cast("string")
+        ),
+    )
+    raw = """'{"data":{"asin":"' || p_partkey || '","product_title":"' || p_name || '","product_price":' ||
+      CASE WHEN p_size > 25 THEN '{"value":' || price || ',"currency":"USD"}' WHEN p_size = 25 THEN '{"currency":"USD"}' ELSE price END ||
+      ',"product_star_rating":"' || p_size || '","product_num_ratings":' || p_partkey * 1000000007 || ',"brand":"' || p_brand ||
+      '","product_description":' || CASE WHEN p_size > 25 THEN '["' || p_name || '","' || p_type || '"]' ELSE '"' || p_type || '"' END ||
+      ',"country":"US"}}' AS raw"""
+    return json_fields.detail_records(priced.selectExpr("p_partkey", raw), "raw").drop("raw")
+
+
 SELLER_FIELDS = [
     ("seller_id", "seller_id"),
     ("name", "seller_name"),
     ("rating", "seller_rating"),
     ("ratings_total", "rating_count"),
+    ("ratings_total_percentage", "positive_feedback_pct"),
+    ("store_link", "storefront_url"),
+    ("business_name", "business_name"),
+    ("business_address", "business_address"),
     ("domain", "seller_domain"),
     ("phone", "seller_phone"),
     ("country", "country"),
@@ -263,7 +317,9 @@ SELLER_FIELDS = [
 @query(
     "json_flatten_record",
     """SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, s_name AS seller_name, CAST(s_nationkey AS VARCHAR) AS seller_rating,
-    CAST(NULL AS VARCHAR) AS rating_count, lower(s_name) AS seller_domain, CAST(NULL AS VARCHAR) AS seller_phone,
+    CAST(NULL AS VARCHAR) AS rating_count, CAST(s_nationkey * 4 AS VARCHAR) AS positive_feedback_pct,
+    CAST(NULL AS VARCHAR) AS storefront_url, s_name || ' Inc' AS business_name, n_name || ' 1' AS business_address,
+    lower(s_name) AS seller_domain, CAST(NULL AS VARCHAR) AS seller_phone,
     n_name AS country FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 )
 def json_flatten_record(spark, sf):
@@ -277,6 +333,9 @@ def json_flatten_record(spark, sf):
                 F.col("s_suppkey").alias("seller_id"),
                 F.col("s_name").alias("name"),
                 F.col("s_nationkey").alias("rating"),
+                (F.col("s_nationkey") * 4).alias("ratings_total_percentage"),
+                F.concat("s_name", F.lit(" Inc")).alias("business_name"),
+                F.concat("n_name", F.lit(" 1")).alias("business_address"),
                 F.lower("s_name").alias("domain"),
                 F.col("n_name").alias("country"),
             ).alias("data")

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import value_map, with_scd2
 from tidemark.operators.dedup import first_per_key
 from tidemark.operators.keys import with_surrogate_key
 from tidemark.plans import model
-from tidemark.session import broadcast_if_small
+from tidemark.session import broadcast_if_small, stored
+from tidemark.sources.files import BROKEN_LINE, read_csv_with_broken
 
 
 def build_dimension(
@@ -78,3 +80,37 @@ def fact_with_key(fact: DataFrame, dim: DataFrame, natural: str, surrogate: str)
     keys = dim.select(F.col(natural).alias("_natural"), surrogate)
     joined = fact.join(broadcast_if_small(keys), F.col(natural) == F.col("_natural"), "inner")
     return joined.drop("_natural")
+
+
+@dataclass(frozen=True)
+class Star:
+    """What one order file becomes."""
+
+    customers: DataFrame
+    products: DataFrame
+    orders: DataFrame
+    fact: DataFrame
+    rejects: DataFrame
+    """(reason, line): lines that do not fit the columns, and lines whose order id is no number."""
+
+
+def star_from_csv(spark: SparkSession, path: str, as_of: Column | datetime | str) -> Star:
+    """Dimensions, fact and rejects of an order file.
+
+    The file is parsed once: its lines are landed in a directory for those that fit and one for
+    those that do not, and all outputs read from there. Lines with an order id that is
+    no number are left out of the order dimension only.
+    """
+    read = read_csv_with_broken(spark, path, model.ORDER_COLUMNS)
+    landed = stored(read.withColumn("_broken", F.col(BROKEN_LINE).isNotNull()), "order-lines", ("_broken",))
+    lines = landed.where(~F.col("_broken")).select(*model.ORDER_COLUMNS)
+    products = stored(dim_product(lines, as_of), "products")
+    broken = landed.where("_broken").select(F.lit("broken_line").alias("reason"), F.col(BROKEN_LINE).alias("line"))
+    no_number = order_rejects(lines).select(F.lit("bad_order_id").alias("reason"), F.to_json(F.struct("*")).alias("line"))
+    return Star(
+        dim_customer(lines, as_of),
+        products,
+        dim_orders(lines, as_of),
+        fact_with_key(lines, products, "product_name", "product_id"),
+        broken.unionByName(no_number),
+    )

@@ -25,6 +25,17 @@ def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str] | No
     return reader.csv(path)
 
 
+# Holds the text of a line that does not fit the columns.
+BROKEN_LINE = "_broken_line"
+
+
+def read_csv_with_broken(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """CSV with a header row, every column as text, and ``BROKEN_LINE``: NULL for lines that fit."""
+    schema = T.StructType([*all_strings(columns).fields, T.StructField(BROKEN_LINE, T.StringType(), True)])
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN_LINE).csv(path)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """A directory of JSON lines; without a schema one pass over the data infers it."""
     reader = spark.read if schema is None else spark.read.schema(schema)

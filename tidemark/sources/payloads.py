@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -37,10 +37,66 @@ def payload_items(payloads: DataFrame, text: str) -> DataFrame:
     others = [c for c in payloads.columns if c != text]
     opened = payloads.withColumn("_value", _unwrapped(text))
     exploded = opened.select(*others, F.posexplode_outer(_items(F.col("_value"))).alias("pos", "item"))
-    is_object = F.schema_of_variant("item").startswith("OBJECT")
+    is_object = F.try_variant_get("item", "$", "map<string,variant>").isNotNull()
     return exploded.withColumn("data", F.when(~is_object, F.col("item").cast("string")))
 
 
+LANDED_STATUS = "endpoint string, payloads bigint, records bigint, failed_payloads bigint, status string"
+
+
+def land_endpoints(payloads: DataFrame, endpoint: str, text: str, endpoints: Sequence[str], path: str) -> DataFrame:
+    """Land the records of every endpoint in one pass; the state and counts of each.
+
+    ``path`` gets a line of JSON for each record, in a directory ``kind=record/endpoint=...``
+    for each endpoint, and the text of each broken payload under ``kind=broken``. Empty
+    payloads write nothing, and a broken one does not touch the other endpoints. The
+    counts of the listed ``endpoints`` come from the job that writes; what others deliver
+    is landed too and counted in a row without a name.
+    """
+    value = _unwrapped(text)
+    kind = F.when(F.col("_value").isNull(), "broken").when(F.col("_item").isNull(), "none").otherwise("record")
+    rows = (
+        payloads.select(F.col(endpoint).alias("endpoint"), F.col(text).alias("_text"), value.alias("_value"))
+        .select("endpoint", "_text", "_value", F.posexplode_outer(_items(F.col("_value"))).alias("_pos", "_item"))
+        .select(
+            "endpoint",
+            kind.alias("kind"),
+            # The first line of a payload stands for it.
+            (F.coalesce("_pos", F.lit(0)) == 0).alias("_first"),
+            F.when(F.col("_value").isNull(), F.translate("_text", "\r\n", "  ")).otherwise(F.to_json("_item")).alias("value"),
+        )
+    )
+    listed = list(dict.fromkeys(endpoints))
+    of = [(f"e{i}", F.col("endpoint") == name) for i, name in enumerate(listed)]
+    of.append(("other", ~F.coalesce(F.col("endpoint").isin(listed), F.lit(False))))
+    seen = Observation()
+    counts = []
+    for label, mine in of:
+        counts += [
+            F.count_if(mine & F.col("_first")).alias(f"{label}_payloads"),
+            F.count_if(mine & (F.col("kind") == "record")).alias(f"{label}_records"),
+            F.count_if(mine & (F.col("kind") == "broken")).alias(f"{label}_failed"),
+        ]
+    written = rows.observe(seen, *counts).where(F.col("kind") != "none").select("kind", "endpoint", "value")
+    written.write.partitionBy("kind", "endpoint").text(path)
+    found = seen.get
+    status = []
+    for (label, _), name in zip(of, [*listed, None], strict=True):
+        payload_count, records, failed = [found[f"{label}_{what}"] for what in ("payloads", "records", "failed")]
+        if name is not None or payload_count:
+            state = "ok" if records else "failed" if failed else "empty"
+            status.append((name, payload_count, records, failed, state))
+    return payloads.sparkSession.createDataFrame(status, LANDED_STATUS)
+
+
+def landed_records(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The records that ``land_endpoints`` wrote, with their ``endpoint``."""
+    reader = spark.read.option("basePath", f"{path}/kind=record")
+    if schema is not None:
+        reader = reader.schema(f"{schema}, endpoint string")
+    return reader.json(f"{path}/kind=record")
+
+
 def endpoint_status(payloads: DataFrame, endpoint: str, text: str) -> DataFrame:
     """State and counts per endpoint: ok, empty or failed.
 
