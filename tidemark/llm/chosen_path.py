@@ -51,10 +51,10 @@ from tidemark.llm.words import text_of
 from tidemark.session import broadcast_if_small, stored
 
 COORDINATES = 128
-# Sets up to which a node is compared at once, and that a block around a pivot holds.
+# Sets up to which a node is compared at once, and that a block of a larger one holds.
 NODE, BLOCK = 128, 500
 # Fresh sets up to which a node that was split is compared in blocks rather than split again.
-FEW = 1_000
+FEW = 5_000
 LEVELS = 8
 # Coordinates that tell how alike the sets of a large node are.
 MODE = 32
@@ -353,7 +353,7 @@ def dealt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes with few fresh sets as (node, sid), ready to be compared; the rows of the others."""
     many = stored(rows.groupBy("node").agg(F.count_if("fresh").alias("f")).where(F.col("f") > FEW).select("node"), "large-nodes")
     marked = broadcast_if_small(many)
-    return in_blocks(rows.join(marked, "node", "left_anti"), NODE), rows.join(marked, "node", "left_semi")
+    return in_blocks(rows.join(marked, "node", "left_anti"), BLOCK), rows.join(marked, "node", "left_semi")
 
 
 # -- full sets -------------------------------------------------------------------------
@@ -361,7 +361,9 @@ def dealt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def full_sets(wanted: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """(sid, hashes) of the sets asked for, from a text of each."""
-    ones = sets.join(wanted.select("sid").distinct(), "sid").select("sid", "one.*")
+    ones = sets.select("sid", "one").join(wanted.select("sid").distinct(), "sid").select("sid", "one.*")
+    # Few sets at a time are looked at again: the texts are not shuffled for them, unless they are many.
+    ones = broadcast_if_small(stored(ones, "wanted-sets"))
     body = text_of(docs[text])
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(body).alias("text_key"), body.alias("text"))
     rows = texts.join(ones, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_key") == F.col("key"))).select("sid", "text")
@@ -493,10 +495,13 @@ def labelled(
         small, rows = dealt(stored(left_over(many, chosen, known), "left-over"))
         leaves.append(small)
         if level == LEVELS - 1:
-            leaves.append(in_blocks(stored(rows, "last-nodes"), NODE))
-        else:
-            small, rows = dealt(stored(branched(rows, sets), "nodes"))
-            leaves.append(small)
+            leaves.append(in_blocks(stored(rows, "last-nodes"), BLOCK))
+            break
+        rows = stored(rows, "large-rest")
+        if rows.isEmpty():
+            break
+        small, rows = dealt(stored(branched(rows, sets), "nodes"))
+        leaves.append(small)
 
     small = leaves[0]
     for more in leaves[1:]:
