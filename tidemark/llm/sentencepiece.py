@@ -44,8 +44,9 @@ NORMAL, UNKNOWN, USER, UNUSED, BYTE = 1, 2, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # Longer segments are not relaxed side by side.
 LONG = 48
-# Most signs put into one index, unless one segment is longer; most segments remembered by a task.
-INDEX_CHARS, REMEMBERED = 1 << 17, 1 << 19
+# Most signs put into one index, unless one segment is longer; signs of segments, each
+# counted with 16 more for its keeping, that a generation of remembered ones holds.
+INDEX_CHARS, REMEMBERED = 1 << 17, 4_000_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -74,6 +75,40 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
+def as_bytes(ids: Sequence[int]) -> bytes:
+    return np.array(ids, dtype=np.int32).tobytes()
+
+
+class Known:
+    """The ids of segments met lately, in two generations of a bounded number of signs.
+
+    When the younger one is full it becomes the older one. A segment found in the older one
+    moves to the younger, so that frequent segments are never forgotten.
+    """
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def of(self, segments: list[str], model: "Model") -> list[bytes]:
+        if self.held > REMEMBERED:
+            self.old, self.young, self.held = self.young, {}, 0
+        young, old = self.young, self.old
+        found = list(map(young.get, segments))
+        missing = dict.fromkeys(s for s, ids in zip(segments, found, strict=True) if ids is None)
+        if missing:
+            fresh = [s for s in missing if s not in old]
+            missing.update((s, old[s]) for s in missing if s in old)
+            missing.update(zip(fresh, model.encode_new(fresh), strict=True))
+            # A very long segment is not worth its place.
+            kept = {s: ids for s, ids in missing.items() if len(s) <= LONG}
+            young.update(kept)
+            self.held += sum(map(len, kept)) + 16 * len(kept)
+            found = [missing[s] if ids is None else ids for s, ids in zip(segments, found, strict=True)]
+        return found
+
+
 @dataclass
 class Model:
     """Pieces by id, with the settings that encoding needs."""
@@ -95,12 +130,11 @@ class Model:
         for byte, i in self.byte_ids.items():
             if byte < 128:
                 self.plain[i] = chr(byte)
-        self.numbers = list(range(len(self.pieces)))
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         self.width = max((len(self.pieces[i]) for i in own), default=1)
         self.own = np.array(own, dtype=np.int64)
-        self.low = np.array([self.pieces[i] for i in own], dtype=f"U{self.width}")
-        self.high = np.array([self.pieces[i].ljust(self.width, chr(0x10FFFF)) for i in own], dtype=f"U{self.width}")
+        # The signs of the pieces, a row for each, filled up with zeros.
+        self.signs = np.array([self.pieces[i] for i in own], dtype=f"U{self.width}").view(np.uint32).reshape(-1, self.width)
         self.lengths = np.array([len(self.pieces[i]) for i in own], dtype=np.int64)
         self.ranks = np.unique(-np.array(self.scores), return_inverse=True)[1].astype(np.int64)
         self.worst = min((self.scores[i] for i in own), default=0.0) - 10.0
@@ -140,34 +174,78 @@ class Model:
         return self.segment.findall((MARK if self.dummy_prefix else "") + text.replace(" ", MARK))
 
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, end, piece) of every occurrence of a piece, sorted by start, then end."""
+        """(start, end, piece) of every occurrence of a piece, sorted by start, then end.
+
+        Signs are numbered as they occur in the text, so that several fit into one integer: a
+        suffix is ordered by a few integers, of which most pieces need the first only.
+        """
         width = self.width
-        signs = np.zeros(len(text) + width, dtype=np.uint32)
-        signs[: len(text)] = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-        heads = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(signs, width)[: len(text)])
-        heads = heads.view(f"<U{width}").ravel()
-        suffixes = np.argsort(heads, kind="stable")
-        ordered = heads[suffixes]
-        del heads, signs
-        first = np.searchsorted(ordered, self.low, side="left")
-        last = np.searchsorted(ordered, self.high, side="right")
+        signs = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        number = np.zeros(0x110000, dtype=np.uint64)
+        number[signs] = 1
+        bits = int(number.sum() + 1).bit_length()
+        number = np.where(number > 0, np.cumsum(number), 0).astype(np.uint64)
+        each = 64 // bits
+        parts = -(-width // each)
+
+        def packed(rows: np.ndarray, part: int, fill: int) -> np.ndarray:
+            """The numbers of ``each`` signs, the first one highest; ``rows`` has a column for each sign."""
+            out = np.zeros(rows.shape[0], dtype=np.uint64)
+            for k in range(part * each, (part + 1) * each):
+                out = out << np.uint64(bits)
+                out |= rows[:, k] if k < rows.shape[1] else np.uint64(fill)
+            return out
+
+        text_numbers = np.zeros(len(signs) + width, dtype=np.uint64)
+        text_numbers[: len(signs)] = number[signs]
+        windows = np.lib.stride_tricks.sliding_window_view(text_numbers, width)[: len(signs)]
+        keys = [packed(windows, part, 0) for part in range(parts)]
+        suffixes = np.lexsort(keys[::-1])
+        keys = [key[suffixes] for key in keys]
+
+        # Pieces with a sign that the text lacks do not occur; beyond a piece's end, any sign fits.
+        inside = np.arange(width) < self.lengths[:, None]
+        rows = np.where(inside, number[self.signs], np.uint64(0))
+        occurs = np.flatnonzero(((rows > 0) | ~inside).all(axis=1))
+        rows, inside = rows[occurs], inside[occurs]
+        most = (1 << bits) - 1
+        low = [packed(rows, part, 0) for part in range(parts)]
+        high = [packed(np.where(inside, rows, np.uint64(most)), part, most) for part in range(parts)]
+        first, last = np.searchsorted(keys[0], low[0], side="left"), np.searchsorted(keys[0], high[0], side="right")
+        for part in range(1, parts):
+            # Longer pieces: two bisections by the next integer among the suffixes found so far.
+            longer = np.flatnonzero((self.lengths[occurs] > part * each) & (first < last))
+            x, y = first[longer], last[longer]
+            first[longer] = self._bisected(keys[part], x, y, low[part][longer], strictly=True)
+            last[longer] = self._bisected(keys[part], x, y, high[part][longer], strictly=False)
         counts = last - first
-        piece = np.repeat(np.arange(len(self.own)), counts)
+        piece = np.repeat(occurs, counts)
         place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
         start = suffixes[place]
-        end = start + self.lengths[piece]
-        order = np.lexsort((end, start))
-        return start[order], end[order], self.own[piece[order]]
+        order = np.argsort(start * (width + 1) + self.lengths[piece])
+        start, piece = start[order], piece[order]
+        return start, start + self.lengths[piece], self.own[piece]
 
-    def encode_segments(self, segments: Sequence[str]) -> list[list[int]]:
-        """The ids of each segment; ``segments`` are indexed together."""
+    @staticmethod
+    def _bisected(keys: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray, strictly: bool) -> np.ndarray:
+        """The first place from low to high whose key is not below (or, not strictly, above) the wanted one."""
+        low, high = low.copy(), high.copy()
+        while (open_ := np.flatnonzero(low < high)).size:
+            middle = (low[open_] + high[open_]) >> 1
+            before = keys[middle] < wanted[open_] if strictly else keys[middle] <= wanted[open_]
+            low[open_] = np.where(before, middle + 1, low[open_])
+            high[open_] = np.where(before, high[open_], middle)
+        return low
+
+    def encode_segments(self, segments: Sequence[str]) -> list[bytes]:
+        """The ids of each segment, four bytes each; ``segments`` are indexed together."""
         start, end, piece = self.edges("\0".join(segments))
         bases = np.cumsum([0] + [len(s) + 1 for s in segments])
         if self.algorithm == BPE:
             return self._relax_together(segments, bases, start, end, piece)
         cuts = np.searchsorted(start, bases)
         return [
-            self._relax_scores(s, self._inside(start, end, piece, int(bases[k]), cuts[k], cuts[k + 1]))
+            as_bytes(self._relax_scores(s, self._inside(start, end, piece, int(bases[k]), cuts[k], cuts[k + 1])))
             for k, s in enumerate(segments)
         ]
 
@@ -175,26 +253,28 @@ class Model:
     def _inside(start, end, piece, base: int, a: int, b: int) -> list[tuple[int, int, int]]:
         return list(zip((start[a:b] - base).tolist(), (end[a:b] - base).tolist(), piece[a:b].tolist(), strict=True))
 
-    def _relax_together(self, segments, bases, start, end, piece) -> list[list[int]]:
+    def _relax_together(self, segments, bases, start, end, piece) -> list[bytes]:
         """BPE for all segments at once: each round takes the best edge of every segment.
 
         Segments longer than ``LONG`` signs would need as many rounds; each has a queue.
         """
-        out: list[list[int]] = [[] for _ in segments]
+        out: list[bytes] = [b""] * len(segments)
         sizes = np.diff(bases) - 1
         cuts = np.searchsorted(start, bases)
         for k in np.flatnonzero(sizes > LONG):
             edges = self._inside(start, end, piece, int(bases[k]), cuts[k], cuts[k + 1])
-            out[k] = self._relax_merges(segments[k], edges)
-        keys = start * (self.width + 1) + (end - start)
+            out[k] = as_bytes(self._relax_merges(segments[k], edges))
+        # Edges of short segments by place and length; a long one has its own queue.
+        span = self.width + 1
+        rows = np.cumsum(np.repeat(sizes <= LONG, sizes + 1)) - 1
+        table = np.full((int(rows[-1]) + 1 if len(rows) else 0) * span + span, -1, dtype=np.int32)
+        near = np.repeat(sizes <= LONG, sizes + 1)[start] if len(start) else np.empty(0, dtype=bool)
+        table[rows[start[near]] * span + (end - start)[near]] = piece[near]
 
         def lookup(i: np.ndarray, j: np.ndarray) -> np.ndarray:
             """The piece from i to j, or -1."""
-            if not len(keys):
-                return np.full(len(i), -1, dtype=np.int64)
-            wanted = i * (self.width + 1) + (j - i)
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            return np.where((j - i <= self.width) & (keys[at] == wanted), piece[at], -1)
+            length = j - i
+            return np.where(length <= self.width, table[rows[i] * span + np.minimum(length, self.width)], -1)
 
         never = np.int64(1) << 62
 
@@ -236,13 +316,18 @@ class Model:
             owner, i, j = (np.concatenate(x) for x in zip(*done, strict=True))
             order = np.argsort(i, kind="stable")
             owner, i, j = owner[order], i[order], j[order]
-            ids = lookup(i, j)
-            for k, at, to, found in zip(owner.tolist(), i.tolist(), j.tolist(), ids.tolist(), strict=True):
-                if found >= 0:
-                    out[k].append(found)
-                else:
+            ids = lookup(i, j).astype(np.int32)
+            raw, bounds = ids.tobytes(), np.searchsorted(owner, np.arange(len(segments) + 1)) * 4
+            uncovered = set(owner[ids < 0].tolist())
+            ends = bounds.tolist()
+            for k in short.tolist():
+                out[k] = raw[ends[k] : ends[k + 1]]
+            for k in uncovered:
+                whole: list[int] = []
+                for at in range(ends[k] // 4, ends[k + 1] // 4):
                     base = int(bases[k])
-                    out[k] += self._signs(segments[k][at - base : to - base])
+                    whole += [int(ids[at])] if ids[at] >= 0 else self._signs(segments[k][i[at] - base : j[at] - base])
+                out[k] = as_bytes(whole)
         return out
 
     def _signs(self, signs: str) -> list[int]:
@@ -312,25 +397,33 @@ class Model:
             i = right[i]
         return out
 
-    def encode(self, texts: Sequence[str | None], known: dict[str, tuple[int, ...]] | None = None) -> list[list[int] | None]:
-        """The ids of each text; ``known`` keeps the segments of earlier batches."""
-        known = {} if known is None else known
-        cut = [None if t is None else self.segments(t) for t in texts]
-        fresh = [s for s in dict.fromkeys(s for c in cut if c for s in c) if s not in known]
-        if len(known) > REMEMBERED:
-            known.clear()
-            fresh = list(dict.fromkeys(s for c in cut if c for s in c))
+    def encode_flat(self, texts: Sequence[str | None], known: "Known | None" = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's start; a null text has none."""
+        known = Known() if known is None else known
+        cut = [[] if t is None else self.segments(t) for t in texts]
+        flat = list(chain.from_iterable(cut))
+        found = known.of(flat, self)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) >> 2
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        offsets = ends[np.concatenate(([0], np.cumsum([len(c) for c in cut]))).astype(np.int64)]
+        return np.frombuffer(b"".join(found), dtype=np.int32), offsets
+
+    def encode_new(self, fresh: list[str]) -> Iterator[bytes]:
+        """The ids of distinct segments, as many at a time as an index holds."""
         at = 0
         while at < len(fresh):
             to, size = at, 0
             while to < len(fresh) and (to == at or size + len(fresh[to]) < INDEX_CHARS):
                 size += len(fresh[to]) + 1
                 to += 1
-            # Equal ids are one object, and tuples carry no spare room.
-            found = (tuple(map(self.numbers.__getitem__, ids)) for ids in self.encode_segments(fresh[at:to]))
-            known.update(zip(fresh[at:to], found, strict=True))
+            yield from self.encode_segments(fresh[at:to])
             at = to
-        return [None if c is None else list(chain.from_iterable(map(known.__getitem__, c))) for c in cut]
+
+    def encode(self, texts: Sequence[str | None], known: "Known | None" = None) -> list[list[int] | None]:
+        """The ids of each text; ``known`` keeps the segments of earlier batches."""
+        ids, offsets = self.encode_flat(texts, known)
+        ids = ids.tolist()
+        return [None if t is None else ids[a:b] for t, a, b in zip(texts, offsets, offsets[1:], strict=False)]
 
     def decode(self, ids: Sequence[int]) -> str:
         plain = list(map(self.plain.__getitem__, ids))
@@ -365,17 +458,20 @@ def encoded(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value, {}
+        model, known = shared.value, Known()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 texts = part.column(part.num_columns - 1).to_pylist()
-                found = model.encode(texts, known)
-                back = [None if t is None else model.decode(i) == t for t, i in zip(texts, found, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(found, pa.list_(pa.int32())), pa.array(back, pa.bool_())],
-                    names=[*rest, ids, exact],
-                )
+                found, offsets = model.encode_flat(texts, known)
+                each, starts = found.tolist(), offsets.tolist()
+                back = [
+                    None if t is None else model.decode(each[x:y]) == t
+                    for t, x, y in zip(texts, starts, starts[1:], strict=False)
+                ]
+                none = pa.array([t is None for t in texts], pa.bool_())
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found, pa.int32()), mask=none)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists, pa.array(back, pa.bool_())], names=[*rest, ids, exact])
 
     return rows.mapInArrow(run, schema)
 
