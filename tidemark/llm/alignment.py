@@ -49,7 +49,7 @@ from tidemark.session import stored
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 MARK = "▁"
 # Units kept by a worker, and signs up to which a unit is kept.
-KEPT, KEPT_SIGNS = 200_000, 48
+KEPT, KEPT_SIGNS = 120_000, 48
 # Signs from which a unit goes to the encoder whose time grows with its length only.
 LONG = 256
 # Documents encoded side by side, and pairs of documents that end a chunk.
