@@ -309,6 +309,20 @@ def test_tree_against_all_scores(spark):
     assert metric_tree.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_large_components_and_different_lengths(spark):
+    random_ = np.random.default_rng(2)
+    vectors = {i: [float(v) for v in random_.uniform(-1, 1, size=1 + i % 5) * 10.0 ** (i % 9 - 2)] for i in range(200)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in vectors.items()}
+    got = {}
+    for r in metric_tree.top_k(df, F.col("vec_id") % 20 == 0, k=4, chunk_rows=50, block_rows=3).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in range(0, 200, 20):
+        score = lambda v: max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(whole[q], v, strict=False))))  # noqa: B023, E731
+        best = sorted((-score(v), i) for i, v in whole.items() if i != q)[:4]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+
+
 # Pages
 
 

@@ -13,7 +13,8 @@ floating point with a margin on the safe side; scores are exact integers.
 
 Rules for odd rows
     * Vectors that are null, empty or hold a null or non-finite component, and rows with a
-      null id, take no part. Components beyond 2^24 are an error, as scores could overflow.
+      null id, take no part. Large components are multiplied as Python's integers; a score that
+      a long cannot hold is given as the nearest one that it can.
     * Vectors of different lengths are compared as if zeros followed the shorter one.
     * A row with the query's id is not its candidate. An id that repeats among the queries
       is asked once, with its smallest vector; repeated candidates are found each.
@@ -37,7 +38,15 @@ from pyspark.sql.window import Window
 from tidemark.session import stored
 
 LEAF, FANOUT = 64, 16
-LARGEST = 1 << 24
+# Sums of products below it are exact in 64 bits; beyond it Python's integers are used.
+LARGEST = 1 << 60
+
+
+def squares(rows: np.ndarray) -> np.ndarray:
+    """The sum of squares of each row, to the precision of distances."""
+    if rows.dtype == object:
+        rows = rows.astype(np.float64)
+    return np.einsum("ij,ij->i", rows, rows).astype(np.float64)
 
 
 @dataclass
@@ -65,7 +74,7 @@ class MTree:
 
     @classmethod
     def build(cls, ids: np.ndarray, vectors: np.ndarray) -> MTree:
-        norms = np.einsum("ij,ij->i", vectors, vectors).astype(np.float64)
+        norms = squares(vectors)
         top = float(norms.max()) if len(ids) else 0.0
         tree = cls(ids, vectors, np.sqrt(top - norms), top, None)
         if len(ids):
@@ -74,7 +83,7 @@ class MTree:
 
     def _distances(self, rows: np.ndarray, centre: int) -> np.ndarray:
         apart = self.vectors[rows] - self.vectors[centre]
-        return np.sqrt(np.einsum("ij,ij->i", apart, apart) + (self.extra[rows] - self.extra[centre]) ** 2)
+        return np.sqrt(squares(apart) + (self.extra[rows] - self.extra[centre]) ** 2)
 
     def _page(self, rows: np.ndarray, centre: int, rng: np.random.Generator) -> Node:
         far = self._distances(rows, centre)
@@ -101,7 +110,7 @@ class MTree:
         margin = 1e-9 * square + 1e-6
 
         def distance(score) -> np.ndarray:
-            return np.sqrt(np.maximum(square - 2.0 * score, 0.0))
+            return np.sqrt(np.maximum(square - 2.0 * np.asarray(score, dtype=np.float64), 0.0))
 
         best: list[tuple[int, int]] = []  # heap of (score, -id): the worst on top
         reach = math.inf
@@ -117,7 +126,7 @@ class MTree:
                 rows = node.rows[able <= reach]
                 scores = vectors[rows] @ query
                 if len(best) == k:
-                    near = scores >= best[0][0]
+                    near = (scores >= best[0][0]).astype(bool)
                     rows, scores = rows[near], scores[near]
                 for score, vec_id in zip(scores.tolist(), self.ids[rows].tolist(), strict=True):
                     if vec_id == query_id:
@@ -152,8 +161,8 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     out = np.zeros((len(vectors), width), dtype=np.int64)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
-    if out.size and np.abs(out).max() > LARGEST:
-        raise ValueError(f"a component is beyond {LARGEST}")
+    if out.size and width * max(abs(int(out.max())), abs(int(out.min()))) ** 2 >= LARGEST:
+        return out.astype(object)
     return out
 
 
@@ -201,8 +210,9 @@ def top_k(
         for batch in batches:
             for tree_bytes, query_bytes in zip(batch["tree"], batch["queries"], strict=True):
                 tree = pickle.loads(tree_bytes)
+                # A score that a long cannot hold is the nearest one that it can.
                 out = [
-                    (query_id, found, score)
+                    (query_id, found, max(-(2**63), min(2**63 - 1, score)))
                     for query_id, query in zip(*pickle.loads(query_bytes), strict=True)
                     for score, found in tree.search(int(query_id), query, k)
                 ]
