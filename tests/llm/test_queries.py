@@ -65,7 +65,7 @@ def test_short_later_lines_go_where_every_unit_counts(spark):
 
 
 def test_pipeline_cuts_later_sentences_within_lines(spark):
-    passage = "This sentence is long enough to be one that nobody writes twice. And so is the sentence that follows it here!"
+    passage = "This sentence is long enough to be one that nobody writes twice. And so is the somewhat longer sentence that follows it here!"
     unspaced = "没有空格的文字也要按长度计算" * 4
     rows = [
         (1, f"One begins. {passage} One ends"),
