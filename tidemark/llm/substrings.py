@@ -129,8 +129,9 @@ def deduplicated(
         .groupBy("doc", "key")
         .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
     )
+    # The text goes through the join once, as the operator's own column.
     rows = docs.select(
-        carried(docs, carry),
+        carried(docs, [n for n in names if n != text] or [doc_id]),
         docs[text].alias("body"),
         F.coalesce(docs[doc_id].cast("long"), F.lit(NULL_ID)).alias("doc"),
         F.xxhash64(text_of(docs[text])).alias("key"),
