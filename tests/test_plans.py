@@ -58,3 +58,13 @@ def test_merge_leaves_other_rows_out_of_the_join(spark):
     text = plan(scd2_single_merge(dim, staged.drop("batch_id"), ["k"], "2024-02-01"))
     joined = text[text.index("LeftOuter"):]
     assert "PartitionFilters: [isnotnull(Iscurrent" in joined
+
+
+def test_order_lines_are_moved_without_what_their_order_brings(spark, sf_dir):
+    from tidemark.checks import inputs
+
+    text = plan(inputs.order_lines(spark, sf_dir))
+    lines = [at for at in text.split("Exchange hashpartitioning(")[1:] if at.startswith(("l_partkey", "l_orderkey"))]
+    assert [at.split("#")[0] for at in lines] == ["l_orderkey", "l_partkey"] or [at.split("#")[0] for at in lines] == ["l_partkey"]
+    assert "c_name" not in text[text.index("hashpartitioning(l_partkey"):].split("Exchange")[0]
+    assert "BroadcastHashJoin [l_partkey" not in text and "BroadcastHashJoin [o_custkey" not in text

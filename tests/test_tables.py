@@ -154,3 +154,18 @@ def test_partition_values_with_special_characters(spark):
     t.update({"id": F.col("id") + 10}, F.col("k").isin("a b", "x/y"))
     t.delete(F.col("k") == "50%")
     assert rows(t.read()) == [(11, "a b", 1), (12, "x/y", 1), (4, None, 2)]
+
+
+def test_append_to_a_known_partition(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), partition_by=["batch_id"]).create_empty("id int, batch_id int")
+    df = spark.createDataFrame([(1, 3), (2, 3)], "id int, batch_id int")
+    assert table.append(df, partition={"batch_id": 3}) == 2
+    assert table.append(df.limit(0), partition={"batch_id": 4}) == 0
+    assert sorted(map(tuple, table.read().collect())) == [(1, 3), (2, 3)]
+    assert "PartitionFilters: [isnotnull(batch_id" in table.read().where("batch_id = 3")._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="1 rows are not of"):
+        table.append(spark.createDataFrame([(5, 5), (6, None)], "id int, batch_id int"), partition={"batch_id": 5})
+    with pytest.raises(ValueError, match="partition columns"):
+        table.append(df, partition={"id": 1})
+    table.delete(F.col("id") == 1)
+    assert sorted(map(tuple, table.read().collect())) == [(2, 3)]

@@ -254,7 +254,8 @@ def _cycle(
         increment, turned_away, counts = split_rejects(increment, spec)
         with _rejects_lock:
             _record(rejects, turned_away if any(counts.values()) else None, spec.name, mark)
-    rows = staged.append(increment, evolve=True)
+    by_batch = staged.partition_by == [BATCH]
+    rows = staged.append(increment, evolve=True, partition={BATCH: batch_id} if by_batch else None)
     reached = None
     if any(counts.values()):
         # What was turned away is not read again either.

@@ -127,22 +127,37 @@ class VersionedTable:
     def _directory() -> Column:
         return F.regexp_extract("_metadata.file_path", _DIRECTORY, 1)
 
-    def _write(self, df: DataFrame) -> tuple[list[str], int]:
-        """Write ``df`` as the data of the next version; its directories and row count."""
+    def _write(self, df: DataFrame, partition: Mapping[str, int] | None = None) -> tuple[list[str], int]:
+        """Write ``df`` as the data of the next version; its directories and row count.
+
+        With ``partition``, the one that all rows are of, they go straight into its directory: a
+        write that looks for each row's directory sorts the rows first.
+        """
         if _VERSION in {c.lower() for c in df.columns}:
             raise ValueError(f"{_VERSION} is reserved")
+        if partition is not None and list(partition) != self.partition_by:
+            raise ValueError("partition must name the partition columns")
         version = self._head.version + 1 if self._head else 0
         # A directory of its own for each write: a writer whose commit fails touches no other's files.
         name = f"{_VERSION}={version}-{uuid.uuid4().hex}"
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error")
-        if self.partition_by:
+        others = F.lit(False)
+        for c, value in (partition or {}).items():
+            others = others | ~F.col(c).eqNullSafe(F.lit(value))
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(others).alias("others"))
+        if partition is not None:
+            name = "/".join([name, *[f"{c}={int(value)}" for c, value in partition.items()]])
+            df = df.drop(*partition)
+        writer = df.write.mode("error").option("compression", "zstd")
+        if self.partition_by and partition is None:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/data/{name}")
         rows = seen.get["rows"]
+        if seen.get["others"]:
+            raise ValueError(f"{seen.get['others']} rows are not of {dict(partition)}")
         if rows == 0:
             return [], 0
-        if not self.partition_by:
+        if not self.partition_by or partition is not None:
             return [name], rows
         parts = partition_directories(self.spark, f"{self.root}/data/{name}", len(self.partition_by))
         return [f"{name}/{p}" for p in parts], rows
@@ -249,11 +264,15 @@ class VersionedTable:
         dirs, rows = self._write(self._conform(df, target))
         self._commit("OVERWRITE", dirs, target, rows)
 
-    def append(self, df: DataFrame, evolve: bool = False) -> int:
-        """Add rows by column name; new columns only with ``evolve``. Returns the row count."""
+    def append(self, df: DataFrame, evolve: bool = False, partition: Mapping[str, int] | None = None) -> int:
+        """Add rows by column name; new columns only with ``evolve``. Returns the row count.
+
+        ``partition`` names the one that all rows are of, if known, which saves a sort of them;
+        rows of another are an error.
+        """
         head = self._current()
         target = self._widened(head.schema, df.schema) if evolve else head.schema
-        dirs, rows = self._write(self._conform(df, target))
+        dirs, rows = self._write(self._conform(df, target), partition)
         self._commit("APPEND", [*head.dirs, *dirs], target, rows)
         return rows
 
