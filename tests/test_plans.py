@@ -68,3 +68,33 @@ def test_order_lines_are_moved_without_what_their_order_brings(spark, sf_dir):
     assert [at.split("#")[0] for at in lines] == ["l_orderkey", "l_partkey"] or [at.split("#")[0] for at in lines] == ["l_partkey"]
     assert "c_name" not in text[text.index("hashpartitioning(l_partkey"):].split("Exchange")[0]
     assert "BroadcastHashJoin [l_partkey" not in text and "BroadcastHashJoin [o_custkey" not in text
+
+
+def test_dimension_of_repeated_rows_drops_copies_before_sorting(spark):
+    from tidemark.plans import star
+
+    names = star.model.CUSTOMER_COLUMNS
+    rows = stored(spark.range(40).select(*[(F.col("id") % 2).cast("string").alias(c) for c in names]), "rows")
+    made = star.build_dimension(rows, names, "customer_id", "2024-01-01", repeated=True)
+    text = plan(made)
+    assert text.rindex("HashAggregate") > text.rindex("Sort [")
+    assert sorted(r.customer_id for r in made.collect()) == ["0", "1"]
+
+
+def test_dimension_is_written_before_it_is_numbered(spark):
+    from tidemark.plans import star
+
+    rows = spark.createDataFrame([("b", 0.0), ("a", 1.0), ("a", -0.0), (None, 2.0)], "k string, v double")
+    made = star.build_dimension(rows, ["k", "v"], "k", "2024-01-01", surrogate="n", repeated=True)
+    assert "FileScan parquet" in plan(made)
+    assert [tuple(r) for r in made.orderBy("n").select("n", "k", "v").collect()] == [(1, None, 2.0), (2, "a", 0.0), (3, "b", 0.0)]
+
+
+def test_order_ids_that_are_numbers(spark):
+    from tidemark.plans import star
+
+    ids = ["12", " 12\t", "+7", "-7", "n1", "1e3", "1.5", "", None, "9223372036854775808", "\u0663", "1_0", "5L", "0x1"]
+    rows = spark.createDataFrame([(i,) for i in ids], "order_id string")
+    want = [r[0] for r in rows.selectExpr("try_cast(order_id AS bigint)").collect()]
+    assert [r[0] for r in rows.select(star._order_number()).collect()] == want
+    assert want[:4] == [12, 12, 7, -7] and star.order_rejects(rows).count() == want.count(None)
