@@ -418,3 +418,12 @@ def test_encoded_odd_rows(spark, docs):
     back = {r.doc_id: r.text for r in sentencepiece.decoded(out, model).collect()}
     assert back == {r.doc_id: r.text for r in docs.collect()}
     assert sentencepiece.encoded(docs.limit(0), model).count() == 0
+
+
+def test_substrings_move_texts_and_units_once(spark):
+    df = spark.createDataFrame([(1, "a" * 60 + ". " + "b" * 60), (2, "b" * 60), (3, None)], "doc_id long, text string")
+    out = substrings.deduplicated(df)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    # The units meet the first of each digest, and the texts what they lose.
+    assert text.count("Join") == 2 and "Union" not in text
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "a" * 60 + ". " + "b" * 60, 2: "", 3: None}

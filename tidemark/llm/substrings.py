@@ -141,15 +141,18 @@ def deduplicated(
     @F.pandas_udf("string")
     def kept(body: pd.Series, removed: pd.Series) -> pd.Series:
         return pd.Series(
-            [without(b, [(s["start"], s["end"]) for s in r], separator) for b, r in zip(body, removed, strict=True)],
+            [
+                None if b is None else without(b, [(s["start"], s["end"]) for s in r], separator)
+                for b, r in zip(body, removed, strict=True)
+            ],
             dtype=object,
         )
 
     none = F.array().cast("array<struct<start:int,end:int>>")
-    # Only the texts that lose something are sent to Python.
-    changed = joined.where(F.col("removed").isNotNull()).withColumn("cut", kept("body", "removed"))
-    same = joined.where(F.col("removed").isNull()).withColumn("cut", F.col("body"))
-    both = same.unionByName(changed)
+    # Only the texts that lose something are sent to Python; the others go as null, in the same
+    # pass, so that units and texts are shuffled once.
+    changed = F.when(F.col("removed").isNotNull(), F.col("body"))
+    both = joined.withColumn("cut", F.coalesce(kept(changed, "removed"), F.col("body")))
     return handed_back(both, names, {text: F.col("cut"), "removed": F.coalesce("removed", none)})
 
 
