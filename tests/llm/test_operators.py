@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -427,3 +428,39 @@ def test_substrings_move_texts_and_units_once(spark):
     # The units meet the first of each digest, and the texts what they lose.
     assert text.count("Join") == 2 and "Union" not in text
     assert {r.doc_id: r.text for r in out.collect()} == {1: "a" * 60 + ". " + "b" * 60, 2: "", 3: None}
+
+
+def test_texts_are_cut_in_one_python_pass(spark, docs):
+    plan = substrings.documents(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_the_mix_starts_no_python_worker(spark, docs):
+    mix = mixing.Mix(docs)
+    for out in (mix.sources, mix.slots()):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "ExistingRDD" not in plan and "Python" not in plan
+    # Few rows by the planner's guess, but a row for each slot.
+    plan = mix.mixed()._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[rank#\d+, block#", plan)
+
+
+def test_hashes_of_one_set_alone_are_not_indexed():
+    draws = np.random.default_rng(9)
+    unlike = [np.unique(draws.integers(0, 1 << 62, 500, dtype=np.uint64)) for _ in range(400)]
+    twins = [np.append(h[1:], np.uint64((1 << 62) + i)) for i, h in enumerate(unlike[:5])]
+    sets = [(jaccard.set_id(h), h) for h in unlike + twins]
+    tracemalloc.start()
+    found = list(jaccard.links(sets, 80))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {frozenset(x) for x in found} == {frozenset((sets[i][0], sets[400 + i][0])) for i in range(5)}
+    assert peak < 12 * sum(h.nbytes for _, h in sets)
+
+
+def test_texts_encoded_in_parts_all_come_back(spark):
+    model = sentencepiece.Model.read("/opt/tokenizers/piece_bpe_32k.model")
+    texts = [prose(300, i) for i in range(1000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    rows = sentencepiece.encoded(df, model).select("ids", "exact").collect()
+    assert [r.ids for r in rows] == model.encode(texts) and all(r.exact for r in rows)

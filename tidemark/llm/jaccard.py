@@ -164,21 +164,27 @@ def t_occurrence(lists: list[array], least: int) -> dict[int, int]:
     return {i: n for i, n in zip(found.tolist(), counts.tolist(), strict=True) if n >= least}
 
 
-def central_first(sets: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray]]:
-    """Sets whose hashes most others hold come first: what copies were made from, before the copies."""
+def central_first(sets: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(sid, hashes, those of them that another set holds too) of each set.
+
+    Sets whose hashes most others hold come first: what copies were made from, before the copies.
+    """
     if not sets:
         return []
     _, where, counts = np.unique(np.concatenate([h for _, h in sets]), return_inverse=True, return_counts=True)
-    starts = np.cumsum([0] + [len(h) for _, h in sets[:-1]])
-    mean = np.add.reduceat(counts[where], starts) / [len(h) for _, h in sets]
-    return [sets[i] for i in sorted(range(len(sets)), key=lambda i: (-mean[i], sets[i][0]))]
+    held = counts.astype(np.int32)[where]
+    starts = np.cumsum([0] + [len(h) for _, h in sets])
+    mean = np.add.reduceat(held, starts[:-1], dtype=np.int64) / [len(h) for _, h in sets]
+    order = sorted(range(len(sets)), key=lambda i: (-mean[i], sets[i][0]))
+    return [(*sets[i], sets[i][1][held[starts[i] : starts[i + 1]] > 1]) for i in order]
 
 
 def links(sets: list[tuple[int, np.ndarray]], percent: int) -> Iterator[tuple[int, int]]:
     """Links that join the components of the sets given: at most one less than there are sets.
 
     A set that a hub of the main component links to needs no other link into it: it is
-    looked up only among the sets that were outside of it when they came.
+    looked up only among the sets that were outside of it when they came. A hash that one
+    set alone holds is not indexed: nothing asks for it.
     """
     sets = central_first(sets)
     root = list(range(len(sets)))
@@ -195,7 +201,7 @@ def links(sets: list[tuple[int, np.ndarray]], percent: int) -> Iterator[tuple[in
     main: dict[int, array] = {}
     rest: dict[int, array] = {}
     hubs: list[int] = []
-    for i, (sid, hashes) in enumerate(sets):
+    for i, (sid, hashes, shared) in enumerate(sets):
         n = len(hashes)
         by_hub = False
         for c in hubs:
@@ -207,7 +213,7 @@ def links(sets: list[tuple[int, np.ndarray]], percent: int) -> Iterator[tuple[in
                 by_hub = True
                 yield sid, sets[c][0]
                 break
-        tokens = hashes.tolist()
+        tokens = shared.tolist()
         for index in (rest,) if by_hub else (main, rest):
             lists = [index[t] for t in tokens if t in index]
             for c, both in t_occurrence(lists, -(-percent * n // 100)).items():

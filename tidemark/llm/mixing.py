@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,7 +32,17 @@ from pyspark.sql.window import Window
 from tidemark.llm.words import carried, handed_back, text_of, words_of
 from tidemark.session import stored
 
-SOURCES = "source string, rank int, source_size long, blocks long, target double, slots long"
+SOURCES = pa.schema(
+    [
+        ("source", pa.string()),
+        ("rank", pa.int32()),
+        ("source_size", pa.int64()),
+        ("blocks", pa.int64()),
+        ("target", pa.float64()),
+        ("slots", pa.int64()),
+    ]
+)
+COUNTS = pa.schema([("shard", pa.int64()), ("rank", pa.int32()), ("first", pa.int64()), ("n", pa.int64())])
 
 
 @dataclass(frozen=True)
@@ -95,6 +106,11 @@ def shard_counts(slots: Sequence[int], plan: Plan) -> list[tuple[int, int, int,
     return out
 
 
+def handed_over(spark: SparkSession, rows: Sequence[tuple], schema: pa.Schema) -> DataFrame:
+    """The driver's few rows as a table; as Arrow data, which no Python worker has to read again."""
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema))
+
+
 def permuted(slots: DataFrame, plan: Plan) -> DataFrame:
     """Adds ``block``: the slot's number sent through a permutation of ``blocks`` numbers.
 
@@ -155,7 +171,7 @@ class Mix:
         rows = [
             (r.source, i, *x) for i, (r, x) in enumerate(zip(found, zip(sizes, blocks, wanted, slots, strict=True), strict=True))
         ]
-        return F.broadcast(self.spark.createDataFrame(rows, SOURCES))
+        return F.broadcast(handed_over(self.spark, rows, SOURCES))
 
     def _placed(self, sized: DataFrame) -> DataFrame:
         """Adds ``start``: the words of the same source before this document."""
@@ -196,7 +212,7 @@ class Mix:
 
     def slots(self, step: int = 4096) -> DataFrame:
         """Every slot: shard, place in its shard, rank, epoch and block."""
-        counts = self.spark.createDataFrame(self.counts, "shard long, rank int, first long, n long")
+        counts = handed_over(self.spark, self.counts, COUNTS)
         # A stated number of tasks: by their size in bytes the few rows would go to one.
         tasks = math.ceil(sum(n for *_, n in self.counts) / (16 * step)) or 1
         parts = counts.select(
@@ -218,14 +234,15 @@ class Mix:
 
     def mixed(self) -> DataFrame:
         """The mix: for each slot the parts of documents in its block."""
-        return self.slots().join(self.pieces(), ["rank", "block"])
+        # Slots are far more than the few counts that Spark sees them made of: not to be broadcast.
+        return self.slots().hint("merge").join(self.pieces(), ["rank", "block"])
 
     def takings(self) -> DataFrame:
         """Each document with ``size``, ``source_size``, ``target`` and ``taken`` words."""
         uses = self.slots().groupBy("rank", "block").agg(F.count("*").alias("uses"))
         taken = (
             self.pieces()
-            .join(uses, ["rank", "block"])
+            .join(uses.hint("merge"), ["rank", "block"])
             .groupBy("rank", "start")
             .agg(F.sum(F.col("n") * F.col("uses")).alias("taken"))
         )

@@ -47,6 +47,8 @@ LONG = 48
 # Most signs put into one index, unless one segment is longer; signs of segments, each
 # counted with 16 more for its keeping, that a generation of remembered ones holds.
 INDEX_CHARS, REMEMBERED = 1 << 17, 4_000_000
+# Texts whose segments and ids a task holds at a time, as Python's objects.
+TEXTS = 128
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -181,10 +183,13 @@ class Model:
         """
         width = self.width
         signs = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        number = np.zeros(0x110000, dtype=np.uint64)
-        number[signs] = 1
-        bits = int(number.sum() + 1).bit_length()
-        number = np.where(number > 0, np.cumsum(number), 0).astype(np.uint64)
+        met = np.zeros(0x110000, dtype=bool)
+        met[signs] = True
+        met = np.flatnonzero(met)
+        bits = (len(met) + 1).bit_length()
+        # Half as wide as the integers they are packed into: the tables of a batch add up.
+        number = np.zeros(0x110000, dtype=np.uint32)
+        number[met] = np.arange(1, len(met) + 1)
         each = 64 // bits
         parts = -(-width // each)
 
@@ -202,15 +207,16 @@ class Model:
         keys = [packed(windows, part, 0) for part in range(parts)]
         suffixes = np.lexsort(keys[::-1])
         keys = [key[suffixes] for key in keys]
+        suffixes = suffixes.astype(np.int32)
 
         # Pieces with a sign that the text lacks do not occur; beyond a piece's end, any sign fits.
         inside = np.arange(width) < self.lengths[:, None]
-        rows = np.where(inside, number[self.signs], np.uint64(0))
+        rows = np.where(inside, number[self.signs], np.uint32(0))
         occurs = np.flatnonzero(((rows > 0) | ~inside).all(axis=1))
         rows, inside = rows[occurs], inside[occurs]
         most = (1 << bits) - 1
         low = [packed(rows, part, 0) for part in range(parts)]
-        high = [packed(np.where(inside, rows, np.uint64(most)), part, most) for part in range(parts)]
+        high = [packed(np.where(inside, rows, np.uint32(most)), part, most) for part in range(parts)]
         first, last = np.searchsorted(keys[0], low[0], side="left"), np.searchsorted(keys[0], high[0], side="right")
         for part in range(1, parts):
             # Longer pieces: two bisections by the next integer among the suffixes found so far.
@@ -219,10 +225,12 @@ class Model:
             first[longer] = self._bisected(keys[part], x, y, low[part][longer], strictly=True)
             last[longer] = self._bisected(keys[part], x, y, high[part][longer], strictly=False)
         counts = last - first
-        piece = np.repeat(occurs, counts)
-        place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
+        piece = np.repeat(occurs.astype(np.int32), counts)
+        place = np.repeat(first - (np.cumsum(counts) - counts), counts)
+        place += np.arange(len(place))
         start = suffixes[place]
-        order = np.argsort(start * (width + 1) + self.lengths[piece])
+        del place
+        order = np.argsort(start.astype(np.int64) * (width + 1) + self.lengths[piece])
         start, piece = start[order], piece[order]
         return start, start + self.lengths[piece], self.own[piece]
 
@@ -460,8 +468,8 @@ def encoded(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value, Known()
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
                 texts = part.column(part.num_columns - 1).to_pylist()
                 found, offsets = model.encode_flat(texts, known)
                 each, starts = found.tolist(), offsets.tolist()

@@ -42,6 +42,8 @@ BLANK = re.compile(r"[ \t-\r]+")
 AFTER_SENTENCE = re.compile(r"(?<=[.!?。])[ \t\x0b-\r]+")
 # About as long as eight words: shorter sentences recur without being copied.
 MIN_CHARS = 50
+# Texts whose units a task holds at a time, as Python's objects.
+TEXTS = 1_000
 
 
 def lines(text: str, separator: str) -> list[tuple[int, int]]:
@@ -85,16 +87,18 @@ def located(docs: DataFrame, doc_id: str, text: str, separator: str, min_chars:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out: dict[str, list] = {"hash": [], "doc": [], "key": [], "start": [], "end": []}
-            for doc, key, body in zip(batch["doc"].array, batch["key"], batch["body"], strict=True):
-                for line in lines(body, separator):
-                    for a, b in units(body, *line):
-                        if (d := digest(body[a:b], min_chars)) is not None:
-                            for name, value in zip(out, (d, doc, key, a, b), strict=True):
-                                out[name].append(value)
-            frame = pd.DataFrame(out)
-            frame["doc"] = pd.array(frame["doc"], dtype="Int64")
-            yield frame
+            for at in range(0, len(batch), TEXTS):
+                part = batch.iloc[at : at + TEXTS]
+                out: dict[str, list] = {"hash": [], "doc": [], "key": [], "start": [], "end": []}
+                for doc, key, body in zip(part["doc"].array, part["key"], part["body"], strict=True):
+                    for line in lines(body, separator):
+                        for a, b in units(body, *line):
+                            if (d := digest(body[a:b], min_chars)) is not None:
+                                for name, value in zip(out, (d, doc, key, a, b), strict=True):
+                                    out[name].append(value)
+                frame = pd.DataFrame(out)
+                frame["doc"] = pd.array(frame["doc"], dtype="Int64")
+                yield frame
 
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text_of(docs[text])).alias("key"), text_of(docs[text]).alias("body")
@@ -148,6 +152,9 @@ def deduplicated(
             dtype=object,
         )
 
+    # As a plain function it would be worked out again in a filter on its result: a second
+    # pass, with a Python worker of its own beside that of the first.
+    kept = kept.asNondeterministic()
     none = F.array().cast("array<struct<start:int,end:int>>")
     # Only the texts that lose something are sent to Python; the others go as null, in the same
     # pass, so that units and texts are shuffled once.
