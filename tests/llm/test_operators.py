@@ -24,6 +24,7 @@ from tidemark.llm import (
     toxicity,
 )
 from tidemark.llm.queries import QUERIES
+from tidemark.session import stored
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 rng = random.Random(5)
@@ -83,6 +84,23 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
     assert quality.filtered(df).count() == 31
 
 
+def test_filtering_writes_no_text(spark, docs, monkeypatch):
+    written = []
+    monkeypatch.setattr(quality, "stored", lambda df, label: written.append(df.columns) or stored(df, label))
+    line = "read more news on our front page today"
+    more = [(400 + i, f"{prose(40, i + 400)}\n{line}", "en", None, 1) for i in range(30)]
+    more += [(400, more[0][1], "en", None, 1), (400, more[0][1], "de", None, 2), (400, more[0][1], "en", "s9", 3)]
+    rows = docs.union(spark.createDataFrame(more, DOCS))
+    got = Counter(map(tuple, quality.filtered(rows).collect()))
+    assert written and not {"text", "row"} & set(written[0])
+    judged = [r for r in quality.judged(rows, keep_text=True).collect() if r.kept]
+    assert got == Counter((r.doc_id, r.cleaned, r.lang, r.source, len(r.cleaned)) for r in judged)
+    # Copies, rows under one id and a null host keep their own columns; the host of one row has no frequent line.
+    assert got[400, prose(40, 400), "en", None, len(prose(40, 400))] == 2
+    assert got[400, prose(40, 400), "de", None, len(prose(40, 400))] == 1
+    assert got[400, more[0][1], "en", "s9", len(more[0][1])] == 1
+
+
 def test_quality_of_odd_rows(spark, docs):
     got = quality.judged(docs).collect()
     assert len(got) == docs.count()

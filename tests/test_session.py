@@ -1,4 +1,10 @@
-from tidemark.session import shared_path
+import time
+
+from pyspark.sql import functions as F
+
+from tidemark.session import shared_path, shuffles_removed, stored
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Session:
@@ -21,3 +27,28 @@ def test_the_named_folder_is_used():
 def test_the_warehouse_stands_in_for_an_unset_folder():
     session = Session(spark_sql_warehouse_dir="hdfs://store/wh/")
     assert shared_path(session, "t").startswith("hdfs://store/wh/_scratch/t-")
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {str(blocks.apply(i)) for i in range(blocks.size()) if str(blocks.apply(i)).startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    out = stored(spark.range(2000).groupBy(F.expr("id % 100 AS k")).agg(F.max("id").alias("id")), "shuffled")
+    for _ in range(25):
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+    assert out.count() == 100
+
+
+def test_the_setting_of_the_session_comes_back(spark):
+    was = spark.conf.get(CLEANUP, "false")
+    with shuffles_removed(spark):
+        with shuffles_removed(spark):
+            assert spark.conf.get(CLEANUP) == "true"
+        assert spark.conf.get(CLEANUP) == "true"
+    assert spark.conf.get(CLEANUP) == was
