@@ -180,6 +180,28 @@ def test_jaccard_of_odd_rows(spark, docs):
     assert jaccard.joined(docs.limit(0)).count() == 0
 
 
+def test_a_large_block_is_cut_to_sets_that_may_link(spark, monkeypatch):
+    line = prose(20, "quoted line")
+    rows = [(i, f"{prose(80, i + 7000)}\n{line}") for i in range(60)]
+    near = {i: 1000 + i for i in range(0, 60, 6)}
+    rows += [(near[i], rows[i][1].replace(" ", " zz ", 1)) for i in near]
+    rows += [rows[3], rows[6], rows[6], (None, prose(30, "none")), (2000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ids = jaccard.sized(df, "doc_id", "text", 5)
+    blocks = ids.where("n > 0").select(F.col("sid").alias("node"), F.lit(0).cast("long").alias("label")).distinct()
+    # Small enough for one task: the block is left as it is.
+    assert jaccard.refined(df, ids, blocks, "doc_id", "text", 5, 80).count() == blocks.count()
+    monkeypatch.setattr(jaccard, "SETS_PER_CHUNK", 8)
+    out = jaccard.refined(df, ids, blocks, "doc_id", "text", 5, 80)
+    labels = {r.doc_id: r.label for r in ids.join(out, ids.sid == out.node).collect()}
+    assert all(labels[i] == labels[near[i]] for i in near) and len(set(labels.values())) == len(near)
+    assert set(labels) == {*near, *near.values()}
+    tasks = jaccard.block_texts(df, ids, out, "doc_id", "text").groupBy("sid").count()
+    assert tasks.agg(F.max("count")).first()[0] <= 3, "a set goes to one task, as often as its row comes"
+    got = {r.doc_id: r.component_id for r in jaccard.joined(df, size=5, percent=80).collect()}
+    assert got == {**{i: i for i, _ in rows}, **{j: i for i, j in near.items()}}
+
+
 @pytest.mark.parametrize("same_id", [None, 7])
 def test_texts_under_one_id_meet_only_their_own_sets(spark, same_id):
     base = prose(80, "one id").split()

@@ -8,11 +8,12 @@
    at most k parts; with more than k parts of two hashes or more, they agree in one of
    these. A set's parts, digested, are its signatures. A set with too few such parts also
    gives the hashes of its prefix, which two such sets must share.
-3. Sets that share signatures, directly or in a chain, are a block. In a block the sets
-   are searched one after the other: an inverted index over those before is asked for
-   sets that share T hashes. DivideSkip merges the short lists with a heap and probes the
-   long ones by binary search. What copies were made from comes first; a set linked to
-   such a hub is not looked up again among the sets that the hub's component holds.
+3. Sets that share signatures, directly or in a chain, are a block; a block of several
+   chunks is cut again by a second exact rule, the prefix of each set's rarest hashes. In a
+   block the sets are searched one after the other: an inverted index over those before is
+   asked for sets that share T hashes. DivideSkip merges the short lists with a heap and
+   probes the long ones by binary search. What copies were made from comes first; a set
+   linked to such a hub is not looked up again among the sets that the hub's component holds.
 4. Links of different sets are joined to components.
 
 Large blocks are dealt out in chunks, and each pair of chunks is a task of its own, so a
@@ -279,11 +280,64 @@ def candidate_edges(entries: DataFrame) -> DataFrame:
     return first.where("sid <> first").select(F.col("sid").alias("a"), F.col("first").alias("b")).distinct()
 
 
-def block_texts(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(label, i, j, sid, text): a text of each set in a block, for each task that the set takes part in."""
+def set_texts(docs: DataFrame, ids: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The columns of ``wanted``, one of which is ``sid``, with a text that may have that set."""
     # One document of each set, by id and text: rows that share an id do not meet each other's sets.
     one = ids.where("n > 0").groupBy("sid").agg(F.min(F.struct("doc_id", "key")).alias("one"))
-    reps = one.select("sid", "one.doc_id", "one.key")
+    reps = wanted.join(one.select("sid", "one.doc_id", "one.key"), "sid")
+    body = text_of(docs[text])
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(body).alias("text_key"), body.alias("text"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_key") == F.col("key"))
+    return texts.join(reps, same).select(*wanted.columns, "text")
+
+
+def rare_first(docs: DataFrame, ids: DataFrame, members: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """(sig, sid): of the sets ``members`` the rarest hashes, so many that sets that link share one.
+
+    Two sets that link share at least ``percent`` of either's hashes, hence one of those that
+    come first in an order all sets have in common, as many as may be missing and one. The
+    order is by the number of sets that hold a hash: what only one holds is met nowhere, and
+    lines that many texts quote come last. A set that has more hashes of its own than may be
+    missing has no entry.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows = [(shingle_set(t, size), sid) for sid, t in zip(*map(pa.Array.to_pylist, part.columns), strict=True)]
+                rows = [(hashes, sid) for hashes, sid in rows if set_id(hashes) == sid]
+                if rows:
+                    sids = np.repeat(np.array([sid for _, sid in rows], dtype=np.int64), [len(h) for h, _ in rows])
+                    hashes = np.concatenate([h for h, _ in rows]).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(sids)], names=["hash", "sid"])
+
+    rows = set_texts(docs, ids, members, doc_id, text).mapInArrow(run, "hash long, sid long")
+    held = rows.withColumn("sets", F.count("*").over(Window.partitionBy("hash"))).where("sets > 1")
+    # As a set: a row that comes twice gives its hashes twice.
+    shared = held.groupBy("sid").agg(F.sort_array(F.collect_set(F.struct("sets", "hash"))).alias("shared"))
+    sizes = ids.where("n > 0").groupBy("sid").agg(F.min("n").alias("n"))
+    many = F.expr(f"cast(greatest(size(shared) - (n * {percent} + 99) div 100 + 1, 0) AS int)")
+    first = shared.join(sizes, "sid").select("sid", F.explode(F.slice("shared", F.lit(1), many)).alias("x"))
+    return first.select(F.col("x.hash").alias("sig"), "sid")
+
+
+def refined(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """Blocks (node, label) of which those of several chunks are cut again by their rarest hashes.
+
+    Texts that quote the same lines now and then share a part, and with many of them such parts
+    chain all into one block, which grows with the table.
+    """
+    large = stored(blocks.groupBy("label").count().where(F.col("count") > SETS_PER_CHUNK).select("label"), "large-blocks")
+    if large.isEmpty():
+        return blocks
+    members = blocks.join(large, "label", "left_semi").select(F.col("node").alias("sid"))
+    again = components(candidate_edges(rare_first(docs, ids, members, doc_id, text, size, percent)))
+    return blocks.join(large, "label", "left_anti").select("node", "label").union(again)
+
+
+def block_texts(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(label, i, j, sid, text): a text of each set in a block, for each task that the set takes part in."""
     counts = blocks.groupBy("label").agg(F.expr(f"(count(*) + {SETS_PER_CHUNK - 1}) div {SETS_PER_CHUNK}").alias("chunks"))
     dealt = (
         blocks.join(counts, "label")
@@ -297,11 +351,8 @@ def block_texts(docs: DataFrame, ids: DataFrame, blocks: DataFrame, doc_id: str,
         )
         .select(F.col("node").alias("sid"), "label", "tasks")
     )
-    wanted = dealt.join(reps, "sid")
-    body = text_of(docs[text])
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(body).alias("text_key"), body.alias("text"))
     return (
-        texts.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_key") == F.col("key")))
+        set_texts(docs, ids, dealt, doc_id, text)
         .select("sid", "label", F.explode("tasks").alias("task"), "text")
         .select("label", "task.i", "task.j", "sid", "text")
     )
@@ -336,6 +387,7 @@ def _labelled(docs: DataFrame, doc_id: str, text: str, size: int, percent: int)
     """(doc_id, key, n, label) of the documents with a set, and (doc_id, key, n) of the others."""
     ids = stored(sized(docs, doc_id, text, size), "shingle-sets")
     blocks = components(candidate_edges(signed(docs, text, size, percent)))
+    blocks = refined(docs, ids, blocks, doc_id, text, size, percent)
     found = components(block_links(docs, ids, blocks, doc_id, text, size, percent))
     named = ids.where("n > 0").join(found.withColumnRenamed("node", "sid"), "sid", "left")
     named = named.select("doc_id", "key", "n", F.coalesce("label", "sid").alias("label"))
