@@ -98,3 +98,19 @@ def test_order_ids_that_are_numbers(spark):
     want = [r[0] for r in rows.selectExpr("try_cast(order_id AS bigint)").collect()]
     assert [r[0] for r in rows.select(star._order_number()).collect()] == want
     assert want[:4] == [12, 12, 7, -7] and star.order_rejects(rows).count() == want.count(None)
+
+
+def test_the_order_file_is_packed_and_in_parts(spark, sf_dir, tmp_path, monkeypatch):
+    from tidemark.checks import dims
+
+    folder = tmp_path / "order-file"
+    monkeypatch.setattr(dims, "shared_path", lambda spark, label: str(folder))
+    whole = sorted(map(tuple, dims.pl_csv_to_star(spark, sf_dir).collect()), key=str)
+    text = sum(len(r.value) + 1 for r in spark.read.text(str(folder)).collect())
+    parts = list(folder.glob("part-*"))
+    assert sum(p.stat().st_size for p in parts) < text / 2
+    folder = tmp_path / "many"
+    monkeypatch.setattr(dims, "LINES_PER_FILE", 500)
+    assert sorted(map(tuple, dims.pl_csv_to_star(spark, sf_dir).collect()), key=str) == whole
+    lines = dict((name, n) for name, n, _ in whole)
+    assert len(list(folder.glob("part-*"))) >= (lines["fact"] + lines["broken_line"]) / 500
